@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import simhash
+from sieveline.llm import bpe, simhash, token_counts
 from sieveline.llm.common import table
 
+#: the vocabulary of operators 6 and 10
+BYTE_BPE = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -21,3 +26,24 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, budget=4)
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), limit=1024)
+
+
+def bpe_digests(ids: list[bytes], decoded: list[str]) -> list[pa.Array]:
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
+    return [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(map(sha, ids), pa.string()), pa.array([sha(d.encode()) for d in decoded], pa.string())]
+
+
+@query
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), bpe_digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
