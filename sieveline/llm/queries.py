@@ -6,9 +6,9 @@ import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sieveline.llm import bpe, simhash, token_counts
+from sieveline.llm import bpe, secrets, simhash, token_counts
 from sieveline.llm.common import table
 
 #: the vocabulary of operators 6 and 10
@@ -23,6 +23,12 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.render(F.col("base")), 256).alias("base_sha256"), secrets.render(F.col("spans")).alias("spans"))
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, budget=4)
