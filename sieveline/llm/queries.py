@@ -8,7 +8,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sieveline.llm import bpe, secrets, simhash, token_counts
+from sieveline.llm import bpe, secrets, simhash, sketches, token_counts
 from sieveline.llm.common import table
 
 #: the vocabulary of operators 6 and 10
@@ -50,6 +50,23 @@ def bpe_digests(ids: list[bytes], decoded: list[str]) -> list[pa.Array]:
     return [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(map(sha, ids), pa.string()), pa.array([sha(d.encode()) for d in decoded], pa.string())]
 
 
+@query
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sketches.compared(table(spark, sf_dir, "documents"))
+    own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.fingerprint(own).alias("fingerprint"),
+        sketches.fingerprint(edited).alias("edited_fingerprint"),
+        sketches.jaccard(own, edited, F.col("text") == F.col("edited")).alias("near_edited"),
+        sketches.jaccard(own, following, F.col("text") == F.col("next_text")).alias("near_next"),
+        sketches.containment(own, edited, F.col("text") == F.col("edited")).alias("held_by_edited"),
+        sketches.containment(own, following, F.col("text") == F.col("next_text")).alias("held_by_next"),
+    )
+
+
 @query
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), bpe_digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
