@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sieveline.llm import bpe, secrets, simhash, sketches, token_counts
+from sieveline.llm import bpe, secrets, simhash, sketches, suffixes, token_counts
 from sieveline.llm.common import table
 
 #: the vocabulary of operators 6 and 10
@@ -50,6 +51,23 @@ def bpe_digests(ids: list[bytes], decoded: list[str]) -> list[pa.Array]:
     return [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(map(sha, ids), pa.string()), pa.array([sha(d.encode()) for d in decoded], pa.string())]
 
 
+def removal_digests(chunk: suffixes.Chunk, gone: np.ndarray) -> list[pa.Array]:
+    ends = np.cumsum(chunk.lens)
+    starts = ends - chunk.lens
+    fresh = gone & ~np.concatenate(([False], gone[:-1]))  # a span begins
+    at = starts[chunk.lens > 0]
+    fresh[at] = gone[at]  # also where the document before ends in a removed byte
+    before = np.concatenate(([0], np.cumsum(gone)))
+    spans = np.concatenate(([0], np.cumsum(fresh)))
+    kept = [hashlib.sha256(chunk.body[a:b][~gone[a:b]].tobytes()).hexdigest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return [pa.array(chunk.lens), pa.array(before[ends] - before[starts]), pa.array(spans[ends] - spans[starts]), pa.array(kept, pa.string())]
+
+
+@query
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), removal_digests, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
 @query
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sketches.compared(table(spark, sf_dir, "documents"))

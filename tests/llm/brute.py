@@ -19,3 +19,22 @@ def base_spans(text):
 
 def base_sha(text):
     return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, k, e in base_spans(text)).encode()).hexdigest()
+
+
+def kept_bytes(rows, length=50):
+    """rows: (doc_id, text); by place: (kept bytes, removed, spans)."""
+    first = {}
+    raws = [(doc_id if doc_id is not None else float("inf"), (text or "").encode()) for doc_id, text in rows]
+    for doc_id, raw in raws:
+        for i in range(len(raw) - length + 1):
+            w = raw[i : i + length]
+            first[w] = min(first.get(w, doc_id), doc_id)
+    out = []
+    for doc_id, raw in raws:
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if first[raw[i : i + length]] < doc_id:
+                gone[i : i + length] = b"\1" * length
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((bytes(b for b, g in zip(raw, gone, strict=True) if not g), sum(gone), spans))
+    return out
