@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sieveline.llm import bpe, secrets, simhash, sketches, suffixes, token_counts
+from sieveline.llm import bpe, quality, secrets, simhash, sketches, suffixes, token_counts, toxicity
 from sieveline.llm.common import table
 
 #: the vocabulary of operators 6 and 10
@@ -24,6 +24,11 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
@@ -68,6 +73,11 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"), removal_digests, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.3)
+
+
 @query
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sketches.compared(table(spark, sf_dir, "documents"))
