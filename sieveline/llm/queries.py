@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sieveline.llm import bpe, quality, secrets, simhash, sketches, suffixes, token_counts, toxicity
+from sieveline.llm import bpe, decontaminate, pii, quality, secrets, simhash, sketches, suffixes, token_counts, toxicity
 from sieveline.llm.common import table
 
 #: the vocabulary of operators 6 and 10
@@ -29,6 +29,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
@@ -46,6 +51,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymised(table(spark, sf_dir, "documents"), pii.session_key(spark))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", "text", *counts, F.to_json("spans").alias("spans"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), limit=1024)
