@@ -42,7 +42,7 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, budget=4)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.Rule(words=4, budget=4))
 
 
 def tokenizer_file(name: str) -> str:

@@ -1,19 +1,25 @@
 """SimHash near-duplicate groups (operator 4): fingerprints, a binary-trie self-join, and components.
 
-Every pair of distinct fingerprints within the error budget is found. Fingerprints are first dealt into blocks:
-the 64 bits are cut into `budget + 2` runs, and two fingerprints that differ in at most `budget` bits agree on two
-whole runs at least, so they meet in one of the blocks keyed by a pair of runs. Inside a block, a binary trie is
-joined with itself. A block with too many fingerprints is dealt again by its other bits (cut into `budget + 1` runs,
-of which one must agree), as often as it takes, so no task ever gathers an unbounded group.
+A text's code is one or more fingerprints ("prints") of its word shingles, independent of each other. Two codes are
+linked if one of their prints differs in at most `budget` bits and, if `total` is given, all prints together differ
+in at most `total` bits. With one print of 64 bits this is the plain SimHash rule, and every such pair is found. With
+several shorter prints it finds texts of lower similarity: the share of differing bits estimates the angle between
+the shingle sets, `total` is the limit of that estimate, and the prints are as many chances to find the pair.
+
+Codes are first dealt into blocks: the bits of a print are cut into `budget + 2` runs, and two prints within the
+budget agree on two whole runs at least, so they meet in one of the blocks keyed by a pair of runs. Inside a block, a
+binary trie is joined with itself. A block with too many codes is dealt again by its other bits (cut into
+`budget + 1` runs, of which one must agree), as often as it takes, so no task ever gathers an unbounded group.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero, linked like any other; rows
 with the same doc_id are separate rows of the same component; a null doc_id is fingerprinted and grouped, and is
 never a component's smallest id unless all ids of it are null; an empty table gives an empty result; other columns
-are not read.
+are not read by `near_duplicates` and are kept as they are by `without_near_duplicates`.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -21,50 +27,91 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sieveline.llm.common import Stages, pick, text_steps
+from sieveline.llm.common import Stages, pick
 
-BITS = 64
 SEED = 42
 #: fingerprints that one block may hold before it is dealt again
 BLOCK_LIMIT = 1024
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """64-bit SimHash over word shingles, repeats included: a bit is set if it is in over half the shingle hashes."""
+@dataclass(frozen=True)
+class Rule:
+    """What links two texts: words of a shingle, prints and their bits (64 or 32), and the budgets of differing bits."""
+
+    words: int = 4
+    prints: int = 1
+    bits: int = 64
+    budget: int = 4
+    total: int | None = None
+
+    @property
+    def longs(self) -> int:
+        """64-bit words of a code."""
+        return -(-self.prints * self.bits // 64)
+
+
+#: shingles of five words; 192 bits, of which two texts of Jaccard similarity 0.8 differ in 29 on average (an angle of
+#: arccos(2 J / (1 + J)), as a share of half a turn); with one standard deviation more
+SIMILAR = Rule(words=5, prints=6, bits=32, budget=3, total=33)
+
+
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of the shingles, repeats included, of ASCII-lower-cased words; of all words if they are fewer."""
     own = (text or "").encode("utf-8", "replace").lower().split()
     if not own:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(own)
     ends = np.cumsum([len(w) + 1 for w in own]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     if len(own) > words:
-        starts, ends = starts[: 1 - words], ends[words - 1 :]
+        starts, ends = starts[: 1 - words or None], ends[words - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype=">u8")
-    total = np.zeros(BITS, dtype=np.int64)
-    for i in range(0, len(h), 1 << 15):
-        total += np.unpackbits(h[i : i + (1 << 15)].view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(2 * total > len(h)).tobytes(), "big")
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype=np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A 64-bit SimHash: a bit is set if it is in over half the hashes."""
+    total = np.zeros(64, dtype=np.int64)
+    big = hashes.astype(">u8")
+    for i in range(0, len(big), 1 << 15):
+        total += np.unpackbits(big[i : i + (1 << 15)].view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(2 * total > len(big)).tobytes(), "big")
+
 
+def code(text: str | None, rule: Rule) -> list[int]:
+    """The prints of a text in 64-bit words; the first word is the plain fingerprint."""
+    h, out = shingle_hashes(text, rule.words), []
+    for k in range(rule.longs):
+        if k:  # other bits of the same shingles
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        out.append(majority(h) if len(h) else 0)
+    return out
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row."""
+
+def codes(docs: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id, h (a hash of the text) and the words c0, c1, ... of the code (as signed longs) of every row."""
+    names = _names(rule)
 
     def work(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            fps = np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            own = np.array([code(t, rule) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64).reshape(-1, rule.longs)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(own[:, k]) for k in range(rule.longs))], ["doc_id", "h", *names])
+
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("h"))
+    return rows.mapInArrow(work, "doc_id long, h long, " + ", ".join(f"{c} long" for c in names))
+
 
-    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, "doc_id long, fp long")
+def _names(rule: Rule) -> list[str]:
+    return [f"c{k}" for k in range(rule.longs)]
 
 
 # ---------------------------------------------------------------- the trie join inside blocks
 
 
-def trie_pairs(values: np.ndarray, bounds: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def trie_pairs(values: np.ndarray, bounds: np.ndarray, budget: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i, j) of all pairs of a block whose values differ in at most `budget` bits.
 
     `values` (uint64) is sorted within each block; block k is values[bounds[k]:bounds[k + 1]]. A trie node is a run of
@@ -77,10 +124,10 @@ def trie_pairs(values: np.ndarray, bounds: np.ndarray, budget: int) -> tuple[np.
     a0, a1 = a0[keep], a1[keep]
     b0, b1, err = a0.copy(), a1.copy(), np.zeros(len(a0), dtype=np.int8)
     left, right = [], []
-    for depth in range(BITS):
+    for depth in range(bits):
         if not len(a0):
             break
-        ones = np.concatenate(([0], np.cumsum((values >> np.uint64(BITS - 1 - depth)) & np.uint64(1)).astype(np.int64)))
+        ones = np.concatenate(([0], np.cumsum((values >> np.uint64(bits - 1 - depth)) & np.uint64(1)).astype(np.int64)))
         am, bm = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])
         same = a0 == b0
         parts = []
@@ -99,6 +146,10 @@ def trie_pairs(values: np.ndarray, bounds: np.ndarray, budget: int) -> tuple[np.
             left.append(i[near])
             right.append(j[near])
             a0, a1, b0, b1, err = (x[~leaf] for x in (a0, a1, b0, b1, err))
+    if len(a0):  # nodes at full depth: equal prints of different codes
+        i, j = _products(a0, a1, b0, b1)
+        left.append(i)
+        right.append(j)
     none = np.zeros(0, dtype=np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
@@ -117,24 +168,50 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _block_links(batches, budget: int):
-    """From lists of fingerprints, the links that span each block's groups: every member to the group's first."""
+def _products(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of positions that link all members of each pair of nodes: within a node or between nodes, enough to
+    compare every member of the one with every member of the other."""
+    rows, cols = a1 - a0, b1 - b0
+    n = rows * cols
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    wide = np.repeat(cols, n)
+    i, j = np.repeat(a0, n) + k // wide, np.repeat(b0, n) + k % wide
+    ok = (i < j) | (np.repeat(a0, n) != np.repeat(b0, n))
+    return i[ok], j[ok]
+
+
+def _block_links(batches, rule: Rule):
+    """From blocks (print, list of codes), the links that span each block's groups: every member to the group's first."""
     for batch in batches:
-        col = batch.column(0)
+        prints, col = batch.column(0).to_numpy(), batch.column(1)
         sizes = np.diff(col.offsets.to_numpy())
-        flat = col.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        ids, *words = (f.to_numpy(zero_copy_only=False) for f in col.flatten().flatten())
+        words = np.stack([w.view(np.uint64) for w in words], axis=1)
         k, at = 0, 0
         while k < len(sizes):
             cost = np.cumsum(sizes[k : k + 4096].astype(np.int64) ** 2)
             end = k + max(1, int(np.searchsorted(cost, 2 * BLOCK_LIMIT**2, "right")))
-            own = sizes[k:end]
-            v = flat[at : at + own.sum()]
-            v = v[np.lexsort((v, np.repeat(np.arange(len(own)), own)))]
-            i, j = trie_pairs(v, np.concatenate(([0], np.cumsum(own))), budget)
-            root = forest(len(v), i, j)
-            far = np.flatnonzero(root != np.arange(len(v)))
-            yield pa.RecordBatch.from_arrays([pa.array(v[far].view(np.int64)), pa.array(v[root[far]].view(np.int64))], ["a", "b"])
-            k, at = end, at + int(own.sum())
+            own, block = sizes[k:end], np.repeat(np.arange(end - k), sizes[k:end])
+            c, i_d = words[at : at + len(block)], ids[at : at + len(block)]
+            v = print_of(c, prints[k:end][block], rule)
+            by = np.lexsort((v, block))
+            c, i_d = c[by], i_d[by]
+            i, j = trie_pairs(v[by], np.concatenate(([0], np.cumsum(own))), rule.budget, rule.bits)
+            if rule.total is not None:
+                near = np.bitwise_count(c[i] ^ c[j]).sum(axis=1, dtype=np.int32) <= rule.total
+                i, j = i[near], j[near]
+            root = forest(len(block), i, j)
+            far = np.flatnonzero(root != np.arange(len(block)))
+            yield pa.RecordBatch.from_arrays([pa.array(i_d[far]), pa.array(i_d[root[far]])], ["a", "b"])
+            k, at = end, at + len(block)
+
+
+def print_of(words: np.ndarray, number: np.ndarray, rule: Rule) -> np.ndarray:
+    """The print of the given number of each code."""
+    if rule.bits == 64:
+        return words[np.arange(len(words)), number]
+    both = words[np.arange(len(words)), number // 2]
+    return np.where(number % 2 == 0, both >> np.uint64(32), both & np.uint64(0xFFFFFFFF))
 
 
 # ---------------------------------------------------------------- dealing into blocks
@@ -149,39 +226,55 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >= 1 << 63 else mask
 
 
-def first_masks(budget: int) -> list[int]:
-    return [x | y for x, y in combinations(_runs(list(range(BITS)), budget + 2), 2)]
+def first_masks(rule: Rule) -> list[int]:
+    return [x | y for x, y in combinations(_runs(list(range(rule.bits)), rule.budget + 2), 2)]
 
 
-def finer_masks(mask: int, budget: int) -> list[int]:
-    return [mask | run for run in _runs([p for p in range(BITS) if not mask >> p & 1], budget + 1)]
+def finer_masks(mask: int, rule: Rule) -> list[int]:
+    return [mask | run for run in _runs([p for p in range(rule.bits) if not mask >> p & 1], rule.budget + 1)]
 
 
 def _longs(masks: list[int]):
     return F.array(*(F.lit(_signed(m)).cast("long") for m in masks))
 
 
-def links(nodes: DataFrame, budget: int, stages: Stages, limit: int = BLOCK_LIMIT) -> DataFrame:
-    """Links (a, b) between the distinct fingerprints `fp` of `nodes`: they span all groups within the budget."""
-    found = []
-    keyed = nodes.select("fp", F.explode(_longs(first_masks(budget))).alias("mask"))
-    masks = first_masks(budget)
+def _linked(keyed: DataFrame, key: list[str], names: list[str], rule: Rule, stages: Stages) -> DataFrame:
+    lists = keyed.groupBy(*key).agg(F.collect_list(F.struct("id", *names)).alias("codes")).where(F.size("codes") > 1)
+    return stages.write(lists.select("print", "codes").mapInArrow(lambda b: _block_links(b, rule), "a long, b long").distinct(), "links")
+
+
+def links(nodes: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT) -> DataFrame:
+    """Links (a, b) between the ids of `nodes` (id, distinct codes c0, ...): they span all groups that the rule links."""
+    names, found = _names(rule), []
+    values = [F.col(c) for c in names] if rule.bits == 64 else [x for c in names for x in (F.shiftrightunsigned(c, 32), F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)))]
+    masks = first_masks(rule)
+    prints = F.array(*(F.struct(F.lit(k).alias("print"), v.alias("v")) for k, v in enumerate(values[: rule.prints])))
+    each = nodes.select("id", *names, F.explode(prints).alias("p")).select("id", *names, "p.print", "p.v")
+    keyed = each.withColumn("mask", F.explode(_longs(masks)))
+    key = ["print", "mask", "key"]
     while True:
-        keyed = keyed.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
-        counts = keyed.groupBy("mask", "key").count().where("count > 1")
-        hot = stages.write(counts.where(F.col("count") > limit).select("mask", "key"), "hot")
+        keyed = keyed.withColumn("key", F.col("v").bitwiseAND(F.col("mask")))
+        counts = keyed.groupBy(*key).count()
+        hot = stages.write(counts.where(F.col("count") > limit), "hot")
         more = not hot.isEmpty()
-        small = keyed.join(hot, ["mask", "key"], "left_anti") if more else keyed
-        lists = small.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
-        found.append(stages.write(lists.mapInArrow(lambda b: _block_links(b, budget), "a long, b long").distinct(), "links"))
+        small = keyed.join(hot, key, "left_anti") if more else keyed
+        found.append(_linked(small, key, names, rule, stages))
+        finer = {m: finer_masks(m, rule) for m in masks if m != (1 << rule.bits) - 1}
         if not more:
             break
-        finer = {m: finer_masks(m, budget) for m in masks}
+        large = keyed.join(hot, key)
+        if not finer:
+            # codes with one and the same print: their block is cut into cells, and every two cells meet in a task
+            cell, cells = F.pmod(F.xxhash64("id"), F.ceil(2 * F.col("count") / limit)), F.ceil(2 * F.col("count") / limit)
+            pairs = large.withColumn("cell", cell).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cells - 1)))
+            pairs = pairs.withColumn("low", F.least("cell", "other")).withColumn("high", F.greatest("cell", "other"))
+            found.append(_linked(pairs, [*key, "low", "high"], names, rule, stages))
+            break
         masks = sorted({f for fs in finer.values() for f in fs})
         step = nodes.sparkSession.createDataFrame([(_signed(m), [_signed(f) for f in fs]) for m, fs in finer.items()], "mask long, finer array<long>")
-        # one row for each mask of this level: their number follows from the budget and the level alone
-        dealt = keyed.join(hot, ["mask", "key"], "left_semi").join(F.broadcast(step), "mask")
-        keyed = stages.write(dealt.select("fp", F.explode("finer").alias("mask")), "dealt")
+        # one row for each mask of this level: their number follows from the rule and the level alone
+        dealt = large.join(F.broadcast(step), "mask")
+        keyed = stages.write(dealt.select("id", *names, "print", "v", F.explode("finer").alias("mask")), "dealt")
     out = found[0]
     for df in found[1:]:
         out = out.union(df)
@@ -226,20 +319,39 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, budget: int = 4, limit: int = BLOCK_LIMIT) -> DataFrame:
-    """One row for each row of docs: doc_id, fingerprint (16 hex digits), component_id, n_links_class.
-
-    component_id is the smallest doc_id that is reachable over links of at most `budget` differing bits;
-    component_rows is the number of rows in the component.
-    """
+def classes(rows: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT) -> DataFrame:
+    """Of `codes`: c0, ..., first (has_id, doc_id, h of the component's first row, by doc_id, null last, then h) and n (its rows)."""
+    names = _names(rule)
+    # repeats of a code are one node, with the count of its rows: a hot group of copies is one row from here on
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
+    distinct = rows.groupBy(*names).agg(F.min(first).alias("first"), F.count("*").alias("n"))
+    nodes = stages.write(distinct.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    roots = components(links(nodes.select("id", *names), rule, stages, limit), stages)
+    of = stages.write(nodes.join(roots, nodes.id == roots.node, "left").drop("node"), "roots")
+    # a code without links is its own group; the groups with links need another aggregation
+    linked = of.withColumn("group", F.coalesce("root", "id"))
+    several = of.where("root is not null").select(F.col("root").alias("group")).distinct()
+    groups = stages.write(linked.join(several, "group", "left_semi").groupBy("group").agg(F.min("first").alias("group_first"), F.sum("n").alias("group_n")), "groups")
+    out = linked.join(groups, "group", "left").select(*names, F.coalesce("group_first", "first").alias("first"), F.coalesce("group_n", "n").alias("n"))
+    return stages.write(out, "classes")
+
+
+def near_duplicates(docs: DataFrame, rule: Rule = Rule(), limit: int = BLOCK_LIMIT) -> DataFrame:
+    """One row for each row of docs: doc_id, fingerprint (16 hex digits a word of the code), component_id and
+    component_rows (the smallest doc_id of its component, and the number of its rows)."""
+    names, stages = _names(rule), Stages(docs.sparkSession, "simhash")
+    rows = stages.write(codes(docs, rule), "codes")
+    text = F.concat(*(F.lower(F.lpad(F.hex(c), 16, "0")) for c in names))
+    found = rows.join(classes(rows, rule, stages, limit), names)
+    return found.select("doc_id", text.alias("fingerprint"), F.col("first.doc_id").alias("component_id"), F.col("n").alias("component_rows"))
+
+
+def without_near_duplicates(docs: DataFrame, rule: Rule = SIMILAR) -> DataFrame:
+    """The rows of docs with one row of each component, with all their columns: the row of the smallest doc_id (a null
+    one last; of several such rows, by a hash of the text), and one of the rows that repeat it in doc_id and text."""
     stages = Stages(docs.sparkSession, "simhash")
-    rows = stages.write(fingerprints(docs, words), "fps")
-    # repeats of a fingerprint are one node, with the counts of its rows: a hot group of copies is one row from here on
-    nodes = stages.write(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "nodes")
-    roots = components(links(nodes.select("fp"), budget, stages, limit), stages)
-    of = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "low", "n", F.coalesce("root", "fp").alias("root"))
-    linked = of.where("root <> fp").select("root").distinct()
-    # only the groups with links need another aggregation; a fingerprint without links is its own group
-    groups = of.join(linked, "root", "left_semi").groupBy("root").agg(F.min("low").alias("group_low"), F.sum("n").alias("group_n"))
-    classes = stages.write(of.join(groups, "root", "left").select("fp", F.coalesce("group_low", "low").alias("component_id"), F.coalesce("group_n", "n").alias("component_rows")), "classes")
-    return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_rows")
+    rows = stages.write(codes(docs, rule), "codes")
+    firsts = classes(rows, rule, stages).select(F.col("first.doc_id").alias("_doc_id"), F.col("first.h").alias("_first_h")).distinct()
+    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    kept = keyed.join(firsts, keyed["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.col("_h") == F.col("_first_h")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
