@@ -264,15 +264,16 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
 
 def rewritten(docs: DataFrame, key: str) -> DataFrame:
     """The rows of docs with pseudonyms in text, all other columns as they are but n_chars, which follows the text."""
-    text = docs.columns.index("text")
+    names = docs.columns
+    text = names.index("text")
 
     def work(batches):
         own = Pseudonyms(key)
         for batch in batches:
             new = [own.rewrite(t)[0] for t in batch.column(text).to_pylist()]
             batch = batch.set_column(text, batch.schema.field(text), pa.array(new, batch.schema.field(text).type))
-            if "n_chars" in docs.columns:
-                at = docs.columns.index("n_chars")
+            if "n_chars" in names:
+                at = names.index("n_chars")
                 batch = batch.set_column(at, batch.schema.field(at), pa.array([None if t is None else len(t) for t in new], batch.schema.field(at).type))
             yield batch
 
