@@ -94,7 +94,7 @@ def audit_sample(items: DataFrame, revision: str, share: float = 0.1) -> DataFra
 
 
 def group_matrix(items: DataFrame, group: str, domain: str, domains: list[str]) -> DataFrame:
-    return items.groupBy(group).pivot(domain, domains).agg(F.count("*")).na.fill(0)
+    return items.groupBy(group).pivot(domain, domains).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def exclusions(items: DataFrame, rules: list[tuple[Column, str]]) -> DataFrame:
