@@ -110,7 +110,7 @@ _SHOWN = ("total_chars", "replacement_char_count", "replacement_char_rate", "pri
 
 def marked(spark, sf_dir):
     """Documents with some characters that the signals count."""
-    extra = [F.repeat(F.lit(c), (F.col("doc_id") % n).cast("int")) for c, n in (("�", 7), ("", 4), ("\x01", 5))]
+    extra = [F.repeat(F.lit(c), (F.col("doc_id") % n).cast("int")) for c, n in (("\ufffd", 7), ("\ue000", 4), ("\x01", 5))]
     return documents(spark, sf_dir).select("doc_id", F.concat("text", *extra).alias("t"))
 
 
