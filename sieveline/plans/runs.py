@@ -34,7 +34,7 @@ def records_of(tasks: DataFrame, results: DataFrame, run_id: str) -> DataFrame:
     joined = own.join(results, "file_instance_id", "left").withColumns(
         {f"filename_{n}": T.filename_part(name, k) for k, n in enumerate(("year", "issue", "title"), 1)}
         | {"filename_parse_status": T.filename_status(name), "inventory_schema_version": F.lit(VERSION), "inventory_run_id": F.lit(run_id), "collected_at": F.lit(now())}
-        | {"inventory_status": F.coalesce("inventory_status", F.lit("failed")), "pdf_error_category": F.filter("errors", lambda e: e["stage"] == "pdf_open")[0]["error_category"]}
+        | {"inventory_status": F.coalesce("inventory_status", F.lit("failed")), "pdf_error_category": F.get(F.filter("errors", lambda e: e["stage"] == "pdf_open"), 0)["error_category"]}
     )
     return joined.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.FILES))
 

@@ -77,7 +77,7 @@ def test_stopped_run_resumes_and_calibrates(spark, tmp_path, tree):
     assert sinks.manifest_problems(folder) == []
     files = schemas.read_exactly(spark, f"file://{folder}/files.parquet", schemas.FILES, 15)
     assert files.where("filename_parse_status = 'matched'").count() == 12
-    assert spark.read.parquet(f"file://{folder}/duplicate_groups.parquet").count() == 2
+    assert spark.read.parquet(f"file://{folder}/duplicate_groups.parquet").count() == 10
     with pytest.raises(sinks.ResumeError, match="immutable"):
         runs.inventory(spark, own, "run-1", Fake, resume=True)
     out = runs.calibration(spark, own, "run-1", "cal-1", Fake)
