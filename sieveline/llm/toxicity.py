@@ -18,7 +18,7 @@ other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -89,40 +89,50 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def grades(sets: list[set[str]], toxic: np.ndarray, n: int = GRADES) -> np.ndarray:
-    """Grade 0 for clean documents, 1 to n - 1 for toxic ones by their number of distinct marked words."""
-    inside, outside = Counter(), Counter()
-    for words, t in zip(sets, toxic, strict=True):
-        (inside if t else outside).update(words)
-    marked = {w for w, c in inside.items() if c >= MARKED and outside[w] <= c / 20}
-    count = np.array([len(words & marked) for words in sets])
-    cuts = np.quantile(count[toxic == 1], [k / (n - 1) for k in range(1, n - 1)])
-    return np.where(toxic == 1, 1 + (count[:, None] > cuts).sum(axis=1), 0)
-
-
-def telling(own: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Features that occur in toxic documents TELLING standard deviations more often than by chance."""
-    every, inside = Counter(), Counter()
-    for features, t in zip(own, toxic, strict=True):
-        every.update(features)
-        if t:
-            inside.update(features)
-    share = toxic.mean()
-    return sorted(f for f, c in every.items() if c >= COMMON and inside[f] - c * share > TELLING * np.sqrt(c * share * (1 - share)))
-
-
-def fit(texts: list, toxic: np.ndarray, penalty: float = 1e-4, steps: int = 400) -> Model:
-    toxic = np.asarray(toxic)
+class Bag:
+    """The features of the sample's documents as numbers; only each distinct feature's text is held."""
+
+    def __init__(self, rows: Iterable[tuple[str, int]]):
+        index: dict[str, int] = {}
+        docs, toxic = [], []
+        for text, label in rows:
+            docs.append(np.array([index.setdefault(f, len(index)) for f in {f for w in word_set(text) for f in word_features(w)}], dtype=np.int32))
+            toxic.append(label)
+        self.names, self.toxic = list(index), np.array(toxic, dtype=np.int64)
+        self.row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        self.feature = np.concatenate([np.zeros(0, dtype=np.int32), *docs])
+        self.every = np.bincount(self.feature, minlength=len(index))
+        self.inside = np.bincount(self.feature[self.toxic[self.row] == 1], minlength=len(index))
+
+    def grades(self, n: int = GRADES) -> np.ndarray:
+        """Grade 0 for clean documents, 1 to n - 1 for toxic ones by their number of distinct marked words."""
+        is_word = np.array([not name.endswith("-") for name in self.names])
+        marked = is_word & (self.inside >= MARKED) & (self.every - self.inside <= self.inside / 20)
+        count = np.bincount(self.row, weights=marked[self.feature], minlength=len(self.toxic))
+        cuts = np.quantile(count[self.toxic == 1], [k / (n - 1) for k in range(1, n - 1)])
+        return np.where(self.toxic == 1, 1 + (count[:, None] > cuts).sum(axis=1), 0)
+
+    def telling(self) -> list[int]:
+        """Features that occur in toxic documents TELLING standard deviations more often than by chance, by name."""
+        share = self.toxic.mean()
+        more = self.inside - self.every * share > TELLING * np.sqrt(self.every * share * (1 - share))
+        return sorted(np.flatnonzero((self.every >= COMMON) & more).tolist(), key=self.names.__getitem__)
+
+
+def fit(rows: Iterable[tuple[str, int]], penalty: float = 1e-4, steps: int = 400) -> Model:
+    """From texts and whether they are toxic."""
+    bag = Bag(rows)
+    toxic = bag.toxic
     if len(set(toxic.tolist())) < 2:
         return Model({}, np.full(GRADES - 1, 40.0))
-    sets = [word_set(t) for t in texts]
-    own = [{f for w in words for f in word_features(w)} for words in sets]
-    grade = grades(sets, toxic)
-    names = telling(own, toxic)
-    index = {f: i for i, f in enumerate(names)}
-    cols = [np.array(sorted(index[f] for f in s if f in index), dtype=np.int64) for s in own]
-    row, col = np.repeat(np.arange(len(cols)), [len(c) for c in cols]), np.concatenate(cols)
-    n, at = len(texts), np.arange(len(texts))
+    grade, chosen = bag.grades(), bag.telling()
+    names, place = [bag.names[i] for i in chosen], np.full(len(bag.names), -1)
+    place[chosen] = np.arange(len(chosen))
+    kept = place[bag.feature] >= 0
+    row, col = bag.row[kept], place[bag.feature[kept]]
+    by = np.lexsort((col, row))
+    row, col = row[by], col[by]
+    n, at = len(toxic), np.arange(len(toxic))
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / n
 
     def gradient(w, theta):
@@ -157,9 +167,8 @@ def fit(texts: list, toxic: np.ndarray, penalty: float = 1e-4, steps: int = 400)
 
 
 def fitted(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
-    rows = labelled_sample(docs, labels, "toxic", most).collect()  # `most` documents
-    rows.sort(key=lambda r: (r.text, r.label))
-    return fit([r.text for r in rows], np.array([r.label for r in rows]))
+    rows = labelled_sample(docs, labels, "toxic", most).orderBy("text", "label")  # `most` documents, read one by one
+    return fit((r.text, r.label) for r in rows.toLocalIterator())
 
 
 def severities(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
