@@ -60,8 +60,8 @@ def d3_sample(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT source, count(*) FILTER (WHERE doc_id % 3 = 0) AS capacity FROM documents GROUP BY source), t AS (SELECT *, (sum(capacity) OVER ())::BIGINT AS total FROM c),
-f AS (SELECT *, (101 * capacity) // total AS floor_share, (101 * capacity) % total AS remainder FROM t)
-SELECT source, capacity, floor_share, CASE WHEN row_number() OVER (ORDER BY remainder DESC, source) <= 101 - sum(floor_share) OVER () THEN 1 ELSE 0 END AS award FROM f""")
+f AS (SELECT *, (least(101, total) * capacity) // total AS floor_share, (least(101, total) * capacity) % total AS remainder FROM t)
+SELECT source, capacity, floor_share, CASE WHEN row_number() OVER (ORDER BY remainder DESC, source) <= least(101, total) - sum(floor_share) OVER () THEN 1 ELSE 0 END AS award FROM f""")
 def hamilton(spark, sf_dir):
     capacities = documents(spark, sf_dir).groupBy("source").agg(F.count_if(every(3)).alias("capacity"))
     return R.hamilton(capacities, ["source"], "capacity", F.lit(101)).select("source", "capacity", "floor_share", "award")
