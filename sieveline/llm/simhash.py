@@ -9,7 +9,9 @@ the shingle sets, `total` is the limit of that estimate, and the prints are as m
 Codes are first dealt into blocks: the bits of a print are cut into `budget + 2` runs, and two prints within the
 budget agree on two whole runs at least, so they meet in one of the blocks keyed by a pair of runs. Inside a block, a
 binary trie is joined with itself. A block with too many codes is dealt again by its other bits (cut into
-`budget + 1` runs, of which one must agree), as often as it takes, so no task ever gathers an unbounded group.
+`budget + 1` runs, of which one must agree) while there are more of them than the budget. A block that is cheaper to
+join whole, or has no more bits than the budget left, is cut into cells, and every two cells meet in a task; so no task
+ever gathers an unbounded group.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero, linked like any other; rows
 with the same doc_id are separate rows of the same component; a null doc_id is fingerprinted and grouped, and is
@@ -180,23 +182,42 @@ def _products(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) ->
     return i[ok], j[ok]
 
 
-def _block_links(batches, rule: Rule):
-    """From blocks (print, list of codes), the links that span each block's groups: every member to the group's first."""
+def _blocks(batches, n_key: int, most: int = 1 << 16):
+    """Rows of longs, sorted by their first `n_key` columns, as arrays of some 65,536 rows of whole blocks."""
+    held, rows = [], 0
     for batch in batches:
-        prints, col = batch.column(0).to_numpy(), batch.column(1)
-        sizes = np.diff(col.offsets.to_numpy())
-        ids, *words = (f.to_numpy(zero_copy_only=False) for f in col.flatten().flatten())
-        words = np.stack([w.view(np.uint64) for w in words], axis=1)
+        held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1))
+        rows += len(held[-1])
+        if rows >= most:
+            own = np.concatenate(held)
+            change = np.flatnonzero((own[1:, :n_key] != own[:-1, :n_key]).any(axis=1))
+            end = int(change[-1]) + 1 if len(change) else 0
+            if end:
+                yield own[:end]
+            held, rows = [own[end:]], len(own) - end
+    if rows:
+        yield np.concatenate(held)
+
+
+def _block_links(batches, rule: Rule, n_key: int):
+    """From rows (key, the print's number first; id; words of the code) sorted by key, the links that span each
+    block's groups: every member to the group's first."""
+    for own in _blocks(batches, n_key):
+        starts = np.flatnonzero(np.concatenate(([True], (own[1:, :n_key] != own[:-1, :n_key]).any(axis=1))))
+        sizes = np.diff(np.append(starts, len(own)))
+        own, sizes = own[np.repeat(sizes > 1, sizes)], sizes[sizes > 1]
+        prints, ids, words = own[:, 0], own[:, n_key], own[:, n_key + 1 :].view(np.uint64)
         k, at = 0, 0
         while k < len(sizes):
             cost = np.cumsum(sizes[k : k + 4096].astype(np.int64) ** 2)
             end = k + max(1, int(np.searchsorted(cost, 2 * BLOCK_LIMIT**2, "right")))
-            own, block = sizes[k:end], np.repeat(np.arange(end - k), sizes[k:end])
-            c, i_d = words[at : at + len(block)], ids[at : at + len(block)]
-            v = print_of(c, prints[k:end][block], rule)
+            block = np.repeat(np.arange(end - k), sizes[k:end])
+            here = slice(at, at + len(block))
+            c, i_d = words[here], ids[here]
+            v = print_of(c, prints[here], rule)
             by = np.lexsort((v, block))
             c, i_d = c[by], i_d[by]
-            i, j = trie_pairs(v[by], np.concatenate(([0], np.cumsum(own))), rule.budget, rule.bits)
+            i, j = trie_pairs(v[by], np.concatenate(([0], np.cumsum(sizes[k:end]))), rule.budget, rule.bits)
             if rule.total is not None:
                 near = np.bitwise_count(c[i] ^ c[j]).sum(axis=1, dtype=np.int32) <= rule.total
                 i, j = i[near], j[near]
@@ -239,8 +260,10 @@ def _longs(masks: list[int]):
 
 
 def _linked(keyed: DataFrame, key: list[str], names: list[str], rule: Rule, stages: Stages) -> DataFrame:
-    lists = keyed.groupBy(*key).agg(F.collect_list(F.struct("id", *names)).alias("codes")).where(F.size("codes") > 1)
-    return stages.write(lists.select("print", "codes").mapInArrow(lambda b: _block_links(b, rule), "a long, b long").distinct(), "links")
+    # sorted rows rather than lists: neither the JVM nor Python holds more than some blocks at once
+    rows = keyed.select(*(F.col(c).cast("long").alias(c) for c in (*key, "id", *names)))
+    rows = rows.repartition(*key).sortWithinPartitions(*reversed(key))
+    return stages.write(rows.mapInArrow(lambda b: _block_links(b, rule, len(key)), "a long, b long").distinct(), "links")
 
 
 def links(nodes: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT) -> DataFrame:
@@ -259,22 +282,28 @@ def links(nodes: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT
         more = not hot.isEmpty()
         small = keyed.join(hot, key, "left_anti") if more else keyed
         found.append(_linked(small, key, names, rule, stages))
-        finer = {m: finer_masks(m, rule) for m in masks if m != (1 << rule.bits) - 1}
         if not more:
             break
         large = keyed.join(hot, key)
+        free = F.lit(rule.bits) - F.bit_count("mask")
+        # a block goes to cells if that makes no more rows than dealing it again, or if its free bits are within the
+        # budget: fewer runs than `budget + 1` would part codes that differ in just these bits
+        cells = F.ceil(2 * F.col("count") / limit)
+        whole = (cells <= rule.budget + 1) | (free <= rule.budget)
+        pairs = large.where(whole).withColumn("cell", F.pmod(F.xxhash64("id"), cells)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cells - 1)))
+        pairs = pairs.withColumn("low", F.least("cell", "other")).withColumn("high", F.greatest("cell", "other"))
+        found.append(_linked(pairs, [*key, "low", "high"], names, rule, stages))
+        finer = {m: finer_masks(m, rule) for m in masks if rule.bits - m.bit_count() > rule.budget}
         if not finer:
-            # codes with one and the same print: their block is cut into cells, and every two cells meet in a task
-            cell, cells = F.pmod(F.xxhash64("id"), F.ceil(2 * F.col("count") / limit)), F.ceil(2 * F.col("count") / limit)
-            pairs = large.withColumn("cell", cell).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cells - 1)))
-            pairs = pairs.withColumn("low", F.least("cell", "other")).withColumn("high", F.greatest("cell", "other"))
-            found.append(_linked(pairs, [*key, "low", "high"], names, rule, stages))
             break
         masks = sorted({f for fs in finer.values() for f in fs})
         step = nodes.sparkSession.createDataFrame([(_signed(m), [_signed(f) for f in fs]) for m, fs in finer.items()], "mask long, finer array<long>")
         # one row for each mask of this level: their number follows from the rule and the level alone
-        dealt = large.join(F.broadcast(step), "mask")
-        keyed = stages.write(dealt.select("id", *names, "print", "v", F.explode("finer").alias("mask")), "dealt")
+        dealt = large.where(~whole).join(F.broadcast(step), "mask")
+        dealt = dealt.select("id", *names, "print", "v", F.explode("finer").alias("mask")).dropDuplicates(["id", "print", "mask"])
+        keyed = stages.write(dealt, "dealt")
+        if keyed.isEmpty():
+            break
     out = found[0]
     for df in found[1:]:
         out = out.union(df)

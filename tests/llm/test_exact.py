@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import brute
 from cases import LONG, ROWS
 from sieveline.llm import bpe, decontaminate, pii, secrets, simhash, sketches, suffixes, token_counts
-from sieveline.llm.common import pick
+from sieveline.llm.common import Stages, pick
 from sieveline.llm.queries import BYTE_BPE, bpe_digests, removal_digests, tokenizer_file
 
 
@@ -108,6 +108,17 @@ def test_trie_finds_all_pairs():
     assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)} == want
 
 
+@pytest.mark.parametrize("flips", [(0, 1, 2, 4), (0, 7 << 20)], ids=["dealt again", "cells"])
+def test_hot_blocks_lose_no_links(spark, flips):
+    # a family that agrees in all bits but a few: with this limit its blocks stay hot, whatever bits they are dealt by
+    rule = simhash.Rule(bits=32, prints=1, budget=3)
+    prints = [0x5A5A1234 ^ x for x in flips] + [0x0F0F0F0F]
+    nodes = spark.createDataFrame([(i, v << 32) for i, v in enumerate(prints)], "id long, c0 long")
+    got = [tuple(r) for r in simhash.links(nodes, rule, Stages(spark, "hot"), limit=1).collect()]
+    i, j = (np.array(x, dtype=np.int64) for x in zip((0, 0), *got, strict=True))
+    assert simhash.forest(len(prints), i, j).tolist() == [0] * len(flips) + [len(flips)]
+
+
 def test_one_of_each_group_stays(docs, none):
     kept = simhash.without_near_duplicates(docs)
     assert kept.schema == docs.schema
