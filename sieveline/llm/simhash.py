@@ -38,13 +38,15 @@ BLOCK_LIMIT = 1024
 
 @dataclass(frozen=True)
 class Rule:
-    """What links two texts: words of a shingle, prints and their bits (64 or 32), and the budgets of differing bits."""
+    """What links two texts: words of a shingle, prints and their bits (64 or 32), the budgets of differing bits, and
+    whether a shingle counts once however often a text repeats it."""
 
     words: int = 4
     prints: int = 1
     bits: int = 64
     budget: int = 4
     total: int | None = None
+    once: bool = False
 
     @property
     def longs(self) -> int:
@@ -52,9 +54,12 @@ class Rule:
         return -(-self.prints * self.bits // 64)
 
 
-#: shingles of five words; 192 bits, of which two texts of Jaccard similarity 0.8 differ in 29 on average (an angle of
-#: arccos(2 J / (1 + J)), as a share of half a turn); with one standard deviation more
-SIMILAR = Rule(words=5, prints=6, bits=32, budget=3, total=33)
+#: candidates for a similarity of 0.8 of the sets of five-word shingles: two such texts differ in 29 of 192 bits on
+#: average (an angle of arccos(2 J / (1 + J)), as a share of half a turn); with three standard deviations more
+SIMILAR = Rule(words=5, prints=6, bits=32, budget=4, total=44, once=True)
+SIMILARITY = 0.8
+#: shingles, and texts, that one cell of a large candidate group may hold
+CELL_SHINGLES, CELL_TEXTS = 1 << 20, 512
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -84,7 +89,11 @@ def majority(hashes: np.ndarray) -> int:
 
 def code(text: str | None, rule: Rule) -> list[int]:
     """The prints of a text in 64-bit words; the first word is the plain fingerprint."""
-    h, out = shingle_hashes(text, rule.words), []
+    return _code(shingle_hashes(text, rule.words), rule)
+
+
+def _code(h: np.ndarray, rule: Rule) -> list[int]:
+    h, out = np.unique(h) if rule.once else h, []
     for k in range(rule.longs):
         if k:  # other bits of the same shingles
             h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -94,16 +103,25 @@ def code(text: str | None, rule: Rule) -> list[int]:
 
 
 def codes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, h (a hash of the text) and the words c0, c1, ... of the code (as signed longs) of every row."""
+    """doc_id, h (a hash of the text), the words c0, c1, ... of the code (as signed longs), and of the set of shingles
+    its size w and a hash s, of every row."""
     names = _names(rule)
 
     def work(batches):
         for batch in batches:
-            own = np.array([code(t, rule) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64).reshape(-1, rule.longs)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(own[:, k]) for k in range(rule.longs))], ["doc_id", "h", *names])
+            own, sets = [], []
+            for t in batch.column(1).to_pylist():
+                h = shingle_hashes(t, rule.words)
+                one = np.unique(h)
+                own.append(_code(one if rule.once else h, rule))
+                sets.append((len(one), xxhash.xxh64_intdigest(one.tobytes(), SEED)))
+            own = np.array(own, dtype=np.uint64).view(np.int64).reshape(-1, rule.longs)
+            sets = np.array(sets, dtype=np.uint64).view(np.int64).reshape(-1, 2)
+            more = [*(pa.array(own[:, k]) for k in range(rule.longs)), pa.array(sets[:, 0]), pa.array(sets[:, 1])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *more], ["doc_id", "h", *names, "w", "s"])
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("h"))
-    return rows.mapInArrow(work, "doc_id long, h long, " + ", ".join(f"{c} long" for c in names))
+    return rows.mapInArrow(work, "doc_id long, h long, " + ", ".join(f"{c} long" for c in (*names, "w", "s")))
 
 
 def _names(rule: Rule) -> list[str]:
@@ -348,14 +366,87 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def classes(rows: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT) -> DataFrame:
-    """Of `codes`: c0, ..., first (has_id, doc_id, h of the component's first row, by doc_id, null last, then h) and n (its rows)."""
+# ---------------------------------------------------------------- the check of candidates on their shingles
+
+
+def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that span the groups of sets (sorted, without repeats) whose pairs have at least that Jaccard similarity.
+
+    Every pair is compared, unless the links before connect it already or its sizes rule it out.
+    """
+    size = np.array([len(x) for x in sets])
+    label, out = np.arange(len(sets)), []
+    by = np.argsort(size, kind="stable")
+    for k, i in enumerate(by):
+        # smaller sets, the nearest in size first, down to the smallest that may be similar
+        low = np.searchsorted(size[by[:k]], int(similarity * size[i]))
+        for j in by[low:k][::-1]:
+            if label[i] == label[j]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            union = size[i] + size[j] - both
+            if union == 0 or both / union >= similarity:
+                out.append((int(i), int(j)))
+                label[label == label[i]] = label[j]
+    return out
+
+
+def _cell_links(batches, words: int, similarity: float):
+    """From rows (group, low, high, id, text) sorted by the first three, the links of each pair of cells."""
+    now, ids, sets = None, [], []
+
+    def found():
+        pairs = similar_links(sets, similarity)
+        return pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in pairs], pa.int64()), pa.array([ids[j] for _, j in pairs], pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        keys = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
+        for key, i, text in zip(keys, batch.column(3).to_pylist(), batch.column(4), strict=True):
+            if key != now:
+                if ids:
+                    yield found()
+                now, ids, sets = key, [], []
+            ids.append(i)
+            sets.append(np.unique(shingle_hashes(text.as_py(), words)))
+    if ids:
+        yield found()
+
+
+def confirmed(nodes: DataFrame, roots: DataFrame, docs: DataFrame, rule: Rule, similarity: float, stages: Stages) -> DataFrame:
+    """Links (a, b) that span the groups of similar texts within the candidate groups.
+
+    A candidate group comes to one task with its texts; a large one is cut into cells, and every two cells meet.
+    """
+    several = roots.select("node", "root").union(roots.select(F.col("root").alias("node"), "root")).distinct()
+    members = stages.write(nodes.select("id", "first", "w").join(several, F.col("id") == F.col("node")).drop("node"), "members")
+    sums = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("w").alias("w"))
+    sums = sums.select("root", F.greatest(F.ceil(F.col("n") / CELL_TEXTS), F.ceil(F.col("w") / CELL_SHINGLES), F.lit(1)).alias("cells"))
+    own = members.join(sums, "root").select("id", "root", "cells", F.coalesce("first.doc_id", F.lit(-1)).alias("d"), F.col("first.h").alias("h"))
+    # a null id stands with -1: rows of one hash have one text, whatever their id
+    texts = pick(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("d"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
+    held = texts.join(own, ["d", "h"]).dropDuplicates(["d", "h", "id"])
+    pairs = held.withColumn("cell", F.pmod(F.xxhash64("id"), "cells")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
+    key = ["root", "low", "high"]
+    pairs = pairs.select("root", F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high"), "id", "text")
+    pairs = pairs.repartition(*key).sortWithinPartitions(*key)
+    return stages.write(pairs.mapInArrow(lambda b: _cell_links(b, rule.words, similarity), "a long, b long"), "confirmed")
+
+
+def classes(rows: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT, docs: DataFrame | None = None, similarity: float = SIMILARITY) -> DataFrame:
+    """Of `codes`: c0, ..., first (has_id, doc_id, h of the component's first row, by doc_id, null last, then h) and n (its rows).
+
+    With `docs`, the components of the rule are candidates: only links of texts of that similarity stay.
+    """
     names = _names(rule)
     # repeats of a code are one node, with the count of its rows: a hot group of copies is one row from here on
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
-    distinct = rows.groupBy(*names).agg(F.min(first).alias("first"), F.count("*").alias("n"))
+    # one code may stand for several sets of shingles, which the check must tell apart
+    same = names if docs is None else [*names, "s"]
+    distinct = rows.groupBy(*same).agg(F.min(first).alias("first"), F.count("*").alias("n"), F.first("w").alias("w"))
     nodes = stages.write(distinct.withColumn("id", F.monotonically_increasing_id()), "nodes")
     roots = components(links(nodes.select("id", *names), rule, stages, limit), stages)
+    if docs is not None:
+        roots = components(confirmed(nodes, roots, docs, rule, similarity, stages), stages)
     of = stages.write(nodes.join(roots, nodes.id == roots.node, "left").drop("node"), "roots")
     # a code without links is its own group; the groups with links need another aggregation
     linked = of.withColumn("group", F.coalesce("root", "id"))
@@ -375,12 +466,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), limit: int = BLOCK_LIM
     return found.select("doc_id", text.alias("fingerprint"), F.col("first.doc_id").alias("component_id"), F.col("n").alias("component_rows"))
 
 
-def without_near_duplicates(docs: DataFrame, rule: Rule = SIMILAR) -> DataFrame:
-    """The rows of docs with one row of each component, with all their columns: the row of the smallest doc_id (a null
+def without_near_duplicates(docs: DataFrame, rule: Rule = SIMILAR, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs with one row of each component of texts whose sets of shingles have that Jaccard similarity
+    (among the candidates of the rule), with all their columns: the row of the smallest doc_id (a null
     one last; of several such rows, by a hash of the text), and one of the rows that repeat it in doc_id and text."""
     stages = Stages(docs.sparkSession, "simhash")
     rows = stages.write(codes(docs, rule), "codes")
-    firsts = classes(rows, rule, stages).select(F.col("first.doc_id").alias("_doc_id"), F.col("first.h").alias("_first_h")).distinct()
+    firsts = classes(rows, rule, stages, docs=docs, similarity=similarity).select(F.col("first.doc_id").alias("_doc_id"), F.col("first.h").alias("_first_h")).distinct()
     keyed = docs.withColumn("_h", F.xxhash64("text"))
     kept = keyed.join(firsts, keyed["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.col("_h") == F.col("_first_h")), "left_semi")
     return kept.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)

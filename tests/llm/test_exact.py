@@ -127,6 +127,39 @@ def test_one_of_each_group_stays(docs, none):
     assert simhash.without_near_duplicates(none).count() == 0
 
 
+def jaccard(a, b, n=5):
+    a, b = (set(zip(*(t.split()[k:] for k in range(n)), strict=False)) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_near_duplicates_are_decided_by_their_shingles(spark, monkeypatch):
+    rng = random.Random(8)
+    words, rows, want = [f"w{i}" for i in range(5000)], [], set()
+    for k in range(120):
+        own = rng.choices(words, k=200)
+        other = own.copy()
+        for at in rng.sample(range(10, 190), 3 + k % 5):  # similarities from about 0.7 to 0.87
+            other[at] = "new"
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(other))]
+        want |= {2 * k} | ({2 * k + 1} if jaccard(rows[-1][1], rows[-2][1]) < 0.8 else set())
+    assert 140 < len(want) < 220
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (simhash.CELL_TEXTS, 1):  # also with a cell for every text
+        monkeypatch.setattr(simhash, "CELL_TEXTS", most)
+        assert {r["doc_id"] for r in simhash.without_near_duplicates(df).collect()} == want
+
+
+def test_similar_links_span_all_similar_pairs():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.choice(40, rng.integers(0, 40))).astype(np.uint64) for _ in range(150)]
+    sets += [np.delete(s, 0) for s in sets[:60] if len(s)]
+    like = lambda a, b: not len(a) + len(b) or len(set(a) & set(b)) / len(set(a) | set(b)) >= 0.8
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if like(sets[i].tolist(), sets[j].tolist())]
+    got = simhash.similar_links(sets, 0.8)
+    groups = [simhash.forest(len(sets), *(np.array(x, dtype=np.int64) for x in zip(*e, strict=True))).tolist() for e in (got, pairs)]
+    assert groups[0] == groups[1] and set(map(frozenset, got)) <= set(map(frozenset, pairs))
+
+
 # ---------------------------------------------------------------- 6 and 10
 
 
