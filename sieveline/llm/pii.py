@@ -7,10 +7,11 @@ get equal pseudonyms in every document, different values get different ones, and
   email  local part of letters and digits: each character stays in its class, the domain stays
   card   13 to 19 digits, in groups by single spaces or hyphens if at all, with a valid Luhn check digit: the first
          digit stays, the check digit is made anew
-  phone  +country (area) number in groups: the country code stays; for +1 the area and exchange don't begin with 0 or 1
+  phone  +country (area) number in groups: the country code stays; a +1 number whose area and exchange don't begin
+         with 0 or 1 becomes another such number, any other one a number of the rest
   ssn    three, two and four digits with hyphens, of an area, group and serial that can exist
   iban   country, check digits and account: letters and digits keep their classes, the check digits are made anew
-  ip     IPv4 address with octets up to 255, the first from 1 to 223
+  ip     IPv4 address with octets up to 255; one whose first is from 1 to 223 becomes another such, any other one of the rest
   date   a calendar date from 1900 to 2099 as 2001-02-03, 03/02/2001 (day first, or month first if only that is a date)
          or 03.02.2001: another date of the same format
 
@@ -153,8 +154,9 @@ def _phone(text: str, turn: Callable) -> str | None:
     if not 8 <= len(head) - 1 + len(digits) <= 15:
         return None
     usual = lambda d: len(d) == 10 and d[0] > "1" and d[3] > "1"
-    valid = usual if head == "+1" else lambda d: d[0] != "0" or digits[0] == "0"
-    new = _walked(f"phone{head}", digits, valid, turn)
+    # a number stays in its class, so that each class is permuted in itself
+    group = usual if head == "+1" else lambda d: d[0] == "0"
+    new = _walked(f"phone{head}", digits, lambda d: group(d) == group(digits), turn)
     return new and head + _refill(rest, new)
 
 
@@ -177,18 +179,20 @@ def _iban(text: str, turn: Callable) -> str | None:
     return _refill(text, f"{country}{_mod97(account, country):02d}{account}")
 
 
-_FIRST_OCTETS, _OCTET = 223, 256
+_FIRST_OCTETS, _OCTET = (range(1, 224), (0, *range(224, 256))), 256
 
 
 def _ip(text: str, turn: Callable) -> str | None:
     octets = text.split(".")
-    if any(int(o) > 255 or (len(o) > 1 and o[0] == "0") for o in octets) or not 1 <= int(octets[0]) <= _FIRST_OCTETS:
+    if any(int(o) > 255 or (len(o) > 1 and o[0] == "0") for o in octets):
         return None
-    value = int(octets[0]) - 1
+    usual = int(octets[0]) in _FIRST_OCTETS[0]
+    firsts = _FIRST_OCTETS[0 if usual else 1]
+    value = firsts.index(int(octets[0]))
     for o in octets[1:]:
         value = value * _OCTET + int(o)
-    value = turn("ip", _FIRST_OCTETS * _OCTET**3, value)
-    return f"{(value >> 24) + 1}.{value >> 16 & 255}.{value >> 8 & 255}.{value & 255}"
+    value = turn("ip" if usual else "ip/rest", len(firsts) * _OCTET**3, value)
+    return f"{firsts[value >> 24]}.{value >> 16 & 255}.{value >> 8 & 255}.{value & 255}"
 
 
 _FIRST_DAY, _DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days

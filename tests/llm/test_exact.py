@@ -308,6 +308,16 @@ def test_pseudonyms_are_linked_and_reversible(docs, none):
     assert pii.pseudonymised(none, "key").count() == 0
 
 
+def test_all_phones_and_addresses_are_rewritten():
+    own = pii.Pseudonyms("key")
+    values = ["+1 (017) 555-7713", "+1 (736) 155-2678", "+1 (736) 555-2678", "+49 (030) 555-2678", "248.40.198.62", "0.1.2.3", "224.0.0.1", "223.255.255.255", "255.255.255.255"]
+    for value in values:
+        new, spans = own.rewrite(f"at {value} now")
+        assert [(a, b) for a, b, _ in spans] == [(3, 3 + len(value))] and new != f"at {value} now" and own.reveal(new) == f"at {value} now"
+    many = [f"+49 (0{i:02d}) 555-2678" for i in range(100)] + [f"{i}.7.7.7" for i in range(256)]
+    assert len({own.rewrite(v)[0] for v in many}) == len(many) and all(own.reveal(own.rewrite(v)[0]) == v for v in many)
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000])
 def test_feistel_permutes(size):
     p = pii.Permutation("k")
