@@ -15,7 +15,9 @@ get equal pseudonyms in every document, different values get different ones, and
   date   a calendar date from 1900 to 2099 as 2001-02-03, 03/02/2001 (day first, or month first if only that is a date)
          or 03.02.2001: another date of the same format
 
-Values that fail validation stay as they are. Separators and numbers of digits are kept (an octet may change its width), so a pseudonym is valid in its format.
+If a match fails validation, the values that begin and end at its groups are tried: earlier ones first, then longer ones.
+A pseudonym that would make another one of these valid is permuted again, so that `reveal` finds the same value; only
+there an equal value may get another pseudonym. Values that fail validation stay as they are. Separators and numbers of digits are kept (an octet may change its width), so a pseudonym is valid in its format.
 
 Defined cases: null stays null and has no spans; an empty text stays empty; texts are rewritten whole; rows are
 independent, so repeated rows give equal rows; an empty table gives an empty result; other columns are not read by
@@ -43,14 +45,18 @@ KEY_SETTING, DEMONSTRATION_KEY = "spark.sieveline.pii.key", "demonstration key,
 _FIND = re.compile(
     r"""(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)
     |(?P<phone>(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![\w]))
-    |(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,4})?(?!\w))
+    |(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,4})?(?!\w)(?!(?:(?<=[ ][0-9])|(?<=[ ][0-9]{2})|(?<=[ ][0-9]{3}))[./][0-9]))
     |(?P<date>(?<![\w.,/-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![\w/-]|[.,][0-9]))
     |(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
     |(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))
-    |(?P<card>(?<![\w-])[0-9](?:[0-9]{12,18}|(?:[ -]?[0-9]){12,18})(?![\w-]))""",
+    |(?P<card>(?<![\w-])[0-9](?:[0-9]{12,18}|(?:[ -]?[0-9]){12,18})(?![\w-])
+        # a short group before a point or slash belongs to an address or date
+        (?!(?:(?<=[ -][0-9])|(?<=[ -][0-9]{2})|(?<=[ -][0-9]{3}))[./][0-9]))""",
     re.X,
 )
 _MAY = re.compile(r"[0-9@]")
+#: the groups around a match that isn't valid, in which others may stand
+_RUN, _GROUP = re.compile(r"[A-Z0-9]+(?!\w)(?:[ -](?![0-9]{1,3}[./][0-9])[A-Z0-9]+(?!\w))*"), re.compile(r"[A-Z0-9]+")
 
 
 class Permutation:
@@ -224,6 +230,39 @@ def _date(text: str, turn: Callable) -> str | None:
 _FORMATS = {"email": _email, "card": _card, "phone": _phone, "ssn": _ssn, "iban": _iban, "ip": _ip, "date": _date}
 
 
+def _valid_inside(run: str, turn: Callable) -> list[tuple[int, int, str]]:
+    """The valid values (start, end, kind) that begin and end at groups of a run, earlier ones first, then longer ones."""
+    groups, out, k = [g.span() for g in _GROUP.finditer(run)], [], 0
+    while k < len(groups):
+        a, after = groups[k][0], k + 1
+        for end in range(len(groups) - 1, k - 1, -1):
+            b = groups[end][1]
+            if b - a > 50 or not (m := _FIND.fullmatch(run[a:b])):
+                continue
+            # numbers of other kinds don't stand beside a hyphen
+            if m.lastgroup not in ("card", "iban") and "-" in (run[a - 1 : a], run[b : b + 1]):
+                continue
+            if turn(m.lastgroup, m[0]) is not None:
+                out.append((a, b, m.lastgroup))
+                after = end + 1
+                break
+        k = after
+    return out
+
+
+def _inside(run: str, kind: str, match: str, turn: Callable) -> list[tuple[int, int, str, str]]:
+    """The valid values inside a run, with their pseudonyms: permuted until the run has its values at the same places
+    and its match is no valid value of `kind`, as in the run itself."""
+    spans = _valid_inside(run, turn)
+    new = run
+    while spans:
+        for a, b, k in spans:
+            new = new[:a] + turn(k, new[a:b]) + new[b:]
+        if turn(kind, new[: len(match)] + match[len(run) :]) is None and _valid_inside(new, turn) == spans:
+            break
+    return [(a, b, k, new[a:b]) for a, b, k in spans]
+
+
 class Pseudonyms:
     def __init__(self, key: str):
         permutation = Permutation(key)
@@ -234,13 +273,22 @@ class Pseudonyms:
         """The text with pseudonyms, and the replaced spans (start, end, kind) of the text before, in characters."""
         if not text or not _MAY.search(text):
             return text, []
-        turn, parts, spans, at = self.other if back else self.one, [], [], 0
-        for m in _FIND.finditer(text):
-            new = turn(m.lastgroup, m[0])
-            if new is not None:
-                parts += text[at : m.start()], new
-                spans.append((m.start(), m.end(), m.lastgroup))
-                at = m.end()
+        turn, parts, spans, at, go = self.other if back else self.one, [], [], 0, 0
+        while m := _FIND.search(text, go):
+            go = m.end()
+            if (new := turn(m.lastgroup, m[0])) is not None:
+                found = [(m.start(), m.end(), m.lastgroup, new)]
+            elif run := _RUN.match(text, m.start()):
+                found = [(a + m.start(), b + m.start(), k, new) for a, b, k, new in _inside(run[0], m.lastgroup, m[0], turn)]
+                # the run's last group may begin a value of another form, unless it is used
+                last = m.start() + [g.start() for g in _GROUP.finditer(run[0])][-1]
+                go = run.end() if found and found[-1][1] > last else last if last > m.start() else go
+            else:
+                found = []
+            for a, b, kind, new in found:
+                parts += text[at:a], new
+                spans.append((a, b, kind))
+                at = b
         return ("".join(parts) + text[at:] if spans else text), spans
 
     def reveal(self, text: str | None) -> str | None:

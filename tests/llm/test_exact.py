@@ -318,6 +318,17 @@ def test_all_phones_and_addresses_are_rewritten():
     assert len({own.rewrite(v)[0] for v in many}) == len(many) and all(own.reveal(own.rewrite(v)[0]) == v for v in many)
 
 
+def test_values_beside_other_groups_are_rewritten():
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    texts = [f"card {card} 123 end", f"no 12 {card}", f"pay {iban} EUR", f"{card} 12/27", f"1234 5678 9012 {card}", "4111-1111-1111-1111-123", f"{card} 123 {card} 77", f"{card} 1.2.3.4", f"no 12 {iban}"]
+    for key in map(str, range(40)):
+        own = pii.Pseudonyms(key)
+        for text in texts:
+            new, spans = own.rewrite(text)
+            assert own.reveal(new) == text and {"card", "iban"} & {k for *_, k in spans}
+            assert all(text[a:b] in (card, iban, card.replace(" ", "-"), "1.2.3.4") for a, b, _ in spans) and card not in new and iban not in new
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000])
 def test_feistel_permutes(size):
     p = pii.Permutation("k")
