@@ -6,7 +6,7 @@ Base spans are the leftmost non-overlapping matches of three patterns, each kept
   hex     a run of 32 or more lower-case hexadecimal digits
 Three more patterns are weak by themselves: `ident` (an id-like name with a value), `secret` (a free-standing run of
 40 base64 characters with lower case, upper case and a digit) and `endpoint` (a URL, or a host or address with a
-port). Their matches are reported only if complementary parts stand in one scope: an identifier (access, ident) and
+port; a host is lower-case labels joined by points, the first without one before it). Their matches are reported only if complementary parts stand in one scope: an identifier (access, ident) and
 a secret (assign, hex, secret) whose distance is at most SCOPE characters are linked; an endpoint is reported if both
 an identifier and a secret are in its scope. The links come from interval joins dealt by (row, stretch of text), and
 only the existence of a partner is asked for, so no list of pairs is made and a crowded document is no single task.
@@ -30,8 +30,12 @@ HEX = r"[0-9a-f]{32,}"
 # the weak patterns
 IDENT = r"""(?i)\b(?:client|account|tenant|access_?key|user)[_-]?id["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{4,}"""
 SECRET = r"(?<![A-Za-z0-9+/=_-])(?=[A-Z+/0-9]*[a-z])(?=[a-z+/0-9]*[A-Z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
-ENDPOINT = r"""https?://[^\s"'<>]+|\b(?:[a-z0-9-]+\.)+[a-z0-9-]+:[0-9]{2,5}\b"""
+# a host is tried only where a run of its characters begins, and no step gives back what it took: linear in the text,
+# and without a repeated group, on which the matcher would recurse
+ENDPOINT = r"""https?://[^\s"'<>]++|(?<![A-Za-z0-9_.-])(?=[a-z0-9-]++\.)[a-z0-9.-]++(?<=[a-z0-9]):[0-9]{2,5}\b"""
 ASSIGN_VALUE = 8
+#: what stands before the value of an assignment
+_BEFORE_VALUE = r"""^(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 #: characters between parts of one scope, and the stretch of text by which the interval joins are dealt
 SCOPE = 256
 STRETCH = 512
@@ -53,27 +57,29 @@ def running_sums(values: Column) -> Column:
         zero = F.struct(base.alias("t"), ints.alias("o"))
         return F.aggregate(run, zero, lambda a, v: F.struct((a.t + v).alias("t"), F.concat(a.o, F.array(a.t + v)).alias("o")))
 
-    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _RUN).cast("int")), lambda r: F.slice(values, r * _RUN + 1, _RUN))
-    zero = F.struct(F.lit(0).alias("t"), F.array().cast("array<array<int>>").alias("o"))
-    all_runs = F.aggregate(runs, zero, lambda a, run: _bind(inner(run, a.t), lambda i: F.struct(i.t.alias("t"), F.concat(a.o, F.array(i.o)).alias("o"))))
-    return F.when(F.size(values) > 0, F.flatten(all_runs.o)).otherwise(ints)
+    def outer(held: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(held) - 1) / _RUN).cast("int")), lambda r: F.slice(held, r * _RUN + 1, _RUN))
+        zero = F.struct(F.lit(0).alias("t"), F.array().cast("array<array<int>>").alias("o"))
+        all_runs = F.aggregate(runs, zero, lambda a, run: _bind(inner(run, a.t), lambda i: F.struct(i.t.alias("t"), F.concat(a.o, F.array(i.o)).alias("o"))))
+        return F.when(F.size(held) > 0, F.flatten(all_runs.o)).otherwise(ints)
 
+    return _bind(values, outer)
 
-def matches(text: Column, pattern: str, kind: int, least: tuple[int, int] | None = None) -> Column:
-    """Spans of a pattern's leftmost non-overlapping matches; least: (group, characters) that a match needs."""
+
+def matches(text: Column, pattern: str, kind: int, value: tuple[str, int] | None = None) -> Column:
+    """Spans of a pattern's leftmost non-overlapping matches; value: (what stands before a match's value, characters
+    that the value needs). A text without a match is searched once, one with matches three times."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
-    group = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(least[0])), lambda g: F.length(g)) if least else None
 
-    def spans(lens: Column) -> Column:
-        ends = running_sums(F.zip_with(F.slice(gaps, 1, F.size(lens)), lens, lambda g, n: g + n))
-        out = F.zip_with(ends, lens, lambda e, n: F.struct((e - n).alias("s"), F.lit(kind).alias("k"), e.alias("e")))
-        if group is None:
-            return out
-        both = F.zip_with(out, group, lambda o, g: F.struct(o.alias("o"), g.alias("g")))
-        return F.transform(F.filter(both, lambda b: b.g >= least[1]), lambda b: b.o)
+    def spans(found: Column) -> Column:
+        ends = running_sums(F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, h: g + F.length(h)))
+        out = F.zip_with(ends, found, lambda e, h: F.struct((e - F.length(h)).alias("s"), F.lit(kind).alias("k"), e.alias("e"), h.alias("h")))
+        if value is not None:
+            out = F.filter(out, lambda x: F.length(F.regexp_replace(x.h, F.lit(value[0]), F.lit(""))) >= value[1])
+        return F.transform(out, lambda x: F.struct(x.s.alias("s"), x.k.alias("k"), x.e.alias("e")))
 
-    return F.when(text.rlike(pattern), _bind(F.transform(hits, lambda h: F.length(h)), spans)).otherwise(F.array().cast(SPANS)).cast(SPANS)
+    return F.when(text.rlike(pattern), _bind(hits, spans)).otherwise(F.array().cast(SPANS)).cast(SPANS)
 
 
 def render(spans: Column) -> Column:
@@ -85,7 +91,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
     """row, doc_id, base and weak spans of every row of docs."""
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     t, none = F.col("text"), F.array().cast(SPANS)
-    base = rows.select("doc_id", "text", matches(t, ASSIGN, 0, (2, ASSIGN_VALUE)).alias("assign"), matches(t, ACCESS, 1).alias("access"), matches(t, HEX, 2).alias("hex"), matches(t, IDENT, 3).alias("ident"))
+    base = rows.select("doc_id", "text", matches(t, ASSIGN, 0, (_BEFORE_VALUE, ASSIGN_VALUE)).alias("assign"), matches(t, ACCESS, 1).alias("access"), matches(t, HEX, 2).alias("hex"), matches(t, IDENT, 3).alias("ident"))
     # without an identifier no weak part can be linked, and the text is not searched for them
     known = (F.size("access") > 0) | (F.size("ident") > 0)
     weak = F.concat("ident", F.when(known, matches(t, SECRET, 4)).otherwise(none), F.when(known, matches(t, ENDPOINT, 5)).otherwise(none))

@@ -38,3 +38,31 @@ def kept_bytes(rows, length=50):
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out.append((bytes(b for b, g in zip(raw, gone, strict=True) if not g), sum(gone), spans))
     return out
+
+
+ASSIGNED = r"""["']? *[:=] *["']?"""
+WEAK = (
+    ("ident", re.compile(r"(?i:\b(?:client|account|tenant|access_?key|user)[_-]?id)" + ASSIGNED + r"[A-Za-z0-9_.@-]{4,}")),
+    ("secret", re.compile(r"[A-Za-z0-9+/=_-]+")),
+    ("endpoint", re.compile(r"""https?://[^\s"'<>]+|(?<![A-Za-z0-9_.-])[a-z0-9.-]+:[0-9]+""")),
+)
+
+
+def _is_weak(kind, found, text, end):
+    if kind == "secret":
+        return len(found) == 40 and not set("=_-") & set(found) and all(re.search(c, found) for c in ("[a-z]", "[A-Z]", "[0-9]"))
+    if kind == "endpoint" and not found.startswith("http"):
+        host, _, port = found.rpartition(":")
+        return 2 <= len(port) <= 5 and not re.match(r"\w", text[end:]) and host[-1].isalnum() and host[0] != "." and "." in host
+    return True
+
+
+def linked_spans(text, scope=256):
+    """Base spans and those weak ones that have their complements within the scope, by comparing all pairs."""
+    base = [(s, k, e) for s, _, k, e in base_spans(text)]
+    weak = [(m.start(), kind, m.end()) for kind, p in WEAK for m in p.finditer(text) if _is_weak(kind, m[0], text, m.end())]
+    near = lambda a, kinds: any(b[1] in kinds and a[0] - scope < b[2] and b[0] < a[2] + scope for b in base + weak if b != a)
+    ident, secret = ("access", "ident"), ("assign", "hex", "secret")
+    kept = [w for w in weak if (w[1] == "ident" or near(w, ident)) and (w[1] == "secret" or near(w, secret))]
+    order = ("assign", "access", "hex", "ident", "secret", "endpoint")
+    return sorted(((s, order.index(k), e) for s, k, e in base + kept))
