@@ -4,7 +4,8 @@ Found values are validated, mapped to an index in the set of all values of their
 network, and written back in the same format. The permutation depends on the key and the kind alone, so equal values
 get equal pseudonyms in every document, different values get different ones, and `reveal` undoes it with the key.
 
-  email  local part of letters and digits: each character stays in its class, the domain stays
+  email  local part of letters and digits: each character stays in its class, the domain stays (local parts of over
+         64 letters and digits are permuted in runs of 64)
   card   13 to 19 digits, in groups by single spaces or hyphens if at all, with a valid Luhn check digit: the first
          digit stays, the check digit is made anew
   phone  +country (area) number in groups: the country code stays; a +1 number whose area and exchange don't begin
@@ -15,9 +16,13 @@ get equal pseudonyms in every document, different values get different ones, and
   date   a calendar date from 1900 to 2099 as 2001-02-03, 03/02/2001 (day first, or month first if only that is a date)
          or 03.02.2001: another date of the same format
 
-If a match fails validation, the values that begin and end at its groups are tried: earlier ones first, then longer ones.
-A pseudonym that would make another one of these valid is permuted again, so that `reveal` finds the same value; only
-there an equal value may get another pseudonym. Values that fail validation stay as they are. Separators and numbers of digits are kept (an octet may change its width), so a pseudonym is valid in its format.
+If a match fails validation, the values that begin and end at its groups are tried: earlier ones first, then longer
+ones. Values that fail validation stay as they are. Separators and numbers of digits are kept (an octet may change its
+width), so a pseudonym is valid in its format. The spans tell where each value stood and where its pseudonym stands, by
+which `reveal` undoes a text exactly.
+
+All patterns are tried only where a run of their characters begins and give nothing back, so the work is linear in the
+text. There is no key but the one that the caller gives: who knows it can undo every pseudonym.
 
 Defined cases: null stays null and has no spans; an empty text stays empty; texts are rewritten whole; rows are
 independent, so repeated rows give equal rows; an empty table gives an empty result; other columns are not read by
@@ -27,7 +32,8 @@ independent, so repeated rows give equal rows; an empty table gives an empty res
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from functools import lru_cache
 from hashlib import blake2b
@@ -39,11 +45,12 @@ from sieveline.llm.common import pick
 
 ROUNDS = 8
 KINDS = ("email", "card", "phone", "ssn", "iban", "ip", "date")
-#: the session setting that holds the key, and the key of tests and demonstrations
-KEY_SETTING, DEMONSTRATION_KEY = "spark.sieveline.pii.key", "demonstration key, not for production"
+#: the session setting that holds the key; there is no other
+KEY_SETTING = "spark.sieveline.pii.key"
 
 _FIND = re.compile(
-    r"""(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)
+    r"""(?<![A-Za-z0-9_])(?:
+    (?<![A-Za-z0-9._%+-])[._%+-]*+(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)
     |(?P<phone>(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![\w]))
     |(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,4})?(?!\w)(?!(?:(?<=[ ][0-9])|(?<=[ ][0-9]{2})|(?<=[ ][0-9]{3}))[./][0-9]))
     |(?P<date>(?<![\w.,/-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![\w/-]|[.,][0-9]))
@@ -51,12 +58,17 @@ _FIND = re.compile(
     |(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))
     |(?P<card>(?<![\w-])[0-9](?:[0-9]{12,18}|(?:[ -]?[0-9]){12,18})(?![\w-])
         # a short group before a point or slash belongs to an address or date
-        (?!(?:(?<=[ -][0-9])|(?<=[ -][0-9]{2})|(?<=[ -][0-9]{3}))[./][0-9]))""",
+        (?!(?:(?<=[ -][0-9])|(?<=[ -][0-9]{2})|(?<=[ -][0-9]{3}))[./][0-9])))""",
     re.X,
 )
 _MAY = re.compile(r"[0-9@]")
-#: the groups around a match that isn't valid, in which others may stand
+#: the groups around a match that isn't valid, in which others may stand; a longer run is taken in steps
 _RUN, _GROUP = re.compile(r"[A-Z0-9]+(?!\w)(?:[ -](?![0-9]{1,3}[./][0-9])[A-Z0-9]+(?!\w))*"), re.compile(r"[A-Z0-9]+")
+RUN_STEP = 4096
+#: characters of the longest value inside a run
+_LONGEST = 50
+#: letters and digits of a local part that are permuted together
+_TOGETHER = 64
 
 
 class Permutation:
@@ -131,7 +143,8 @@ def _by_class(kind: str, chars: str, turn: Callable) -> str:
 
 def _email(text: str, turn: Callable) -> str:
     local, _, domain = text.partition("@")
-    return f"{_refill(local, _by_class('email', ''.join(c for c in local if c.isalnum()), turn))}@{domain}"
+    chars = "".join(c for c in local if c.isalnum())
+    return f"{_refill(local, ''.join(_by_class('email', chars[i : i + _TOGETHER], turn) for i in range(0, len(chars), _TOGETHER)))}@{domain}"
 
 
 def _card(text: str, turn: Callable) -> str | None:
@@ -233,85 +246,104 @@ _FORMATS = {"email": _email, "card": _card, "phone": _phone, "ssn": _ssn, "iban"
 def _valid_inside(run: str, turn: Callable) -> list[tuple[int, int, str]]:
     """The valid values (start, end, kind) that begin and end at groups of a run, earlier ones first, then longer ones."""
     groups, out, k = [g.span() for g in _GROUP.finditer(run)], [], 0
+    ends = [b for _, b in groups]
     while k < len(groups):
         a, after = groups[k][0], k + 1
-        for end in range(len(groups) - 1, k - 1, -1):
-            b = groups[end][1]
-            if b - a > 50 or not (m := _FIND.fullmatch(run[a:b])):
+        for b in reversed(ends[k : bisect_right(ends, a + _LONGEST, k)]):
+            if not (m := _FIND.fullmatch(run, a, b)) or m.lastgroup == "email":
                 continue
             # numbers of other kinds don't stand beside a hyphen
             if m.lastgroup not in ("card", "iban") and "-" in (run[a - 1 : a], run[b : b + 1]):
                 continue
             if turn(m.lastgroup, m[0]) is not None:
                 out.append((a, b, m.lastgroup))
-                after = end + 1
+                after = bisect_right(ends, b)
                 break
         k = after
     return out
 
 
-def _inside(run: str, kind: str, match: str, turn: Callable) -> list[tuple[int, int, str, str]]:
-    """The valid values inside a run, with their pseudonyms: permuted until the run has its values at the same places
-    and its match is no valid value of `kind`, as in the run itself."""
-    spans = _valid_inside(run, turn)
-    new = run
-    while spans:
-        for a, b, k in spans:
-            new = new[:a] + turn(k, new[a:b]) + new[b:]
-        if turn(kind, new[: len(match)] + match[len(run) :]) is None and _valid_inside(new, turn) == spans:
-            break
-    return [(a, b, k, new[a:b]) for a, b, k in spans]
-
-
 class Pseudonyms:
+    """Rewrites texts with one key. A span is (start, end, kind, start and end of the pseudonym in the new text)."""
+
     def __init__(self, key: str):
+        if not key:
+            raise ValueError(f"pseudonyms need a key; {KEY_SETTING} is not set")
         permutation = Permutation(key)
         self.one = lru_cache(100_000)(lambda kind, text: _FORMATS[kind](text, permutation.forth))
         self.other = lambda kind, text: _FORMATS[kind](text, permutation.back)
 
-    def rewrite(self, text: str | None, back: bool = False) -> tuple[str | None, list[tuple[int, int, str]]]:
-        """The text with pseudonyms, and the replaced spans (start, end, kind) of the text before, in characters."""
+    def found(self, text: str) -> Iterator[tuple[int, int, str]]:
+        """The valid values of a text, in order."""
+        go = 0
+        while m := _FIND.search(text, go):
+            kind, (start, go) = m.lastgroup, m.span(m.lastgroup)
+            if self.one(kind, m[kind]) is not None:
+                yield start, go, kind
+                continue
+            limit = start + RUN_STEP
+            run = _RUN.match(text, start, limit)
+            if run is None:
+                continue
+            groups = [g.start() for g in _GROUP.finditer(run[0])]
+            # the last group may begin a value of another form or, in a long run, of the next step
+            last = groups[-1] if len(groups) > 1 else len(run[0])
+            inside = _valid_inside(run[0], self.one)
+            if run.end() + _LONGEST >= limit:  # cut off: what the next step sees whole is left to it
+                last = next((g for g in groups if g > len(run[0]) - 2 * _LONGEST), last)
+                inside = [x for x in inside if x[0] < last]
+            for a, b, k in inside:
+                yield start + a, start + b, k
+            if groups[1:]:
+                go = max(start + last, start + inside[-1][1] if inside else 0)
+
+    def rewrite(self, text: str | None) -> tuple[str | None, list[tuple[int, int, str, int, int]]]:
+        """The text with pseudonyms, and the spans in order."""
         if not text or not _MAY.search(text):
             return text, []
-        turn, parts, spans, at, go = self.other if back else self.one, [], [], 0, 0
-        while m := _FIND.search(text, go):
-            go = m.end()
-            if (new := turn(m.lastgroup, m[0])) is not None:
-                found = [(m.start(), m.end(), m.lastgroup, new)]
-            elif run := _RUN.match(text, m.start()):
-                found = [(a + m.start(), b + m.start(), k, new) for a, b, k, new in _inside(run[0], m.lastgroup, m[0], turn)]
-                # the run's last group may begin a value of another form, unless it is used
-                last = m.start() + [g.start() for g in _GROUP.finditer(run[0])][-1]
-                go = run.end() if found and found[-1][1] > last else last if last > m.start() else go
-            else:
-                found = []
-            for a, b, kind, new in found:
-                parts += text[at:a], new
-                spans.append((a, b, kind))
-                at = b
+        parts, spans, at, size = [], [], 0, 0
+        for a, b, kind in self.found(text):
+            new = self.one(kind, text[a:b])
+            parts += text[at:a], new
+            size += a - at
+            spans.append((a, b, kind, size, size + len(new)))
+            size += len(new)
+            at = b
         return ("".join(parts) + text[at:] if spans else text), spans
 
-    def reveal(self, text: str | None) -> str | None:
-        return self.rewrite(text, back=True)[0]
+    def reveal(self, text: str | None, spans: list[tuple[int, int, str, int, int]]) -> str | None:
+        """The text before, from the new text and its spans."""
+        parts, at = [], 0
+        for _, _, kind, a, b in spans:
+            parts += text[at:a], self.other(kind, text[a:b])
+            at = b
+        return "".join(parts) + text[at:] if spans else text
 
 
 def session_key(spark: SparkSession) -> str:
-    return spark.conf.get(KEY_SETTING, DEMONSTRATION_KEY)
+    """The key that the session holds; it is an error if there is none."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"{KEY_SETTING} is not set: pseudonyms need a secret key")
+    return key
+
+
+_SPAN = ("start", "end", "kind", "new_start", "new_end")
 
 
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
-    """doc_id, text (rewritten), and spans (array of start, end, kind, in the text before) of every row."""
+    """doc_id, text (rewritten), and spans of every row: start and end in the text before, kind, new_start and new_end in the new text."""
 
     def work(batches):
         own = Pseudonyms(key)
         for batch in batches:
             new = [own.rewrite(t) for t in batch.column(1).to_pylist()]
-            spans = [[{"start": a, "end": b, "kind": k} for a, b, k in s] for _, s in new]
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
+            spans = [[dict(zip(_SPAN, x, strict=True)) for x in s] for _, s in new]
+            kind = pa.list_(pa.struct([(n, pa.string() if n == "kind" else pa.int32()) for n in _SPAN]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in new], pa.string()), pa.array(spans, kind)], ["doc_id", "text", "spans"])
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(work, "doc_id long, text string, spans array<struct<start:int,end:int,kind:string>>")
+    return rows.mapInArrow(work, "doc_id long, text string, spans array<struct<start:int,end:int,kind:string,new_start:int,new_end:int>>")
 
 
 def rewritten(docs: DataFrame, key: str) -> DataFrame:
