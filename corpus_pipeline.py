@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm import bpe, decontaminate, pii, quality, simhash
 from sieveline.llm.common import Stages, table
-from sieveline.llm.queries import BYTE_BPE, tokenizer_file
+from sieveline.llm.queries import BYTE_BPE, pii_key, tokenizer_file
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal data in their texts."""
-    return pii.rewritten(docs, pii.session_key(spark))
+    return pii.rewritten(docs, pii_key(spark))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
