@@ -1,26 +1,31 @@
 """SimHash near-duplicate groups (operator 4): fingerprints, a binary-trie self-join, and components.
 
-A text's code is one or more fingerprints ("prints") of its word shingles, independent of each other. Two codes are
-linked if one of their prints differs in at most `budget` bits and, if `total` is given, all prints together differ
-in at most `total` bits. With one print of 64 bits this is the plain SimHash rule, and every such pair is found. With
-several shorter prints it finds texts of lower similarity: the share of differing bits estimates the angle between
-the shingle sets, `total` is the limit of that estimate, and the prints are as many chances to find the pair.
-
-Codes are first dealt into blocks: the bits of a print are cut into `budget + 2` runs, and two prints within the
-budget agree on two whole runs at least, so they meet in one of the blocks keyed by a pair of runs. Inside a block, a
-binary trie is joined with itself. A block with too many codes is dealt again by its other bits (cut into
-`budget + 1` runs, of which one must agree) while there are more of them than the budget. A block that is cheaper to
-join whole, or has no more bits than the budget left, is cut into cells, and every two cells meet in a task; so no task
-ever gathers an unbounded group.
+A text's fingerprint is the 64-bit SimHash of its word shingles. Fingerprints are dealt into blocks, and inside each
+block a binary trie is joined with itself: pairs of nodes walk down together, and a pair is dropped once its differing
+bits exceed the budget. Two ways of dealing:
+
+  by bits    the bits are cut into `budget + 2` runs; two fingerprints within the budget agree on two whole runs at
+             least, so they meet in one of the blocks keyed by a pair of runs, and every pair within the budget is found.
+  by draws   for a wide budget, which bits can't deal: in each of `draws` random orders of the shingles, the `sample`
+             smallest ones of a text are its key. Sets of Jaccard similarity J share a key with probability of about
+             J ** sample in each draw, however long the texts are, so a text makes a few rows at any size of the corpus.
+
+`without_near_duplicates` deals by draws and compares the sets of shingles of all candidates: what it links is decided
+by the similarity, and a pair is lost only if no draw of ten brings it together (0.5 % at 0.8, less above).
+
+A block or candidate group with more members than one task should hold is crowded. A few pivots of it meet all members,
+cell by cell; what the pivots don't connect meets all members of the block. A large family of near copies so costs one
+pass over it, and no pair is left out. A crowded block of bits whose rest is large is dealt again by its other bits.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero, linked like any other; rows
 with the same doc_id are separate rows of the same component; a null doc_id is fingerprinted and grouped, and is
 never a component's smallest id unless all ids of it are null; an empty table gives an empty result; other columns
-are not read by `near_duplicates` and are kept as they are by `without_near_duplicates`.
+are not read by `near_duplicates` and are kept as they are by `without_near_duplicates`, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -32,34 +37,35 @@ from pyspark.sql import DataFrame, functions as F
 from sieveline.llm.common import Stages, pick
 
 SEED = 42
-#: fingerprints that one block may hold before it is dealt again
+BITS = 64
+#: fingerprints that one block may hold before it is crowded
 BLOCK_LIMIT = 1024
+#: members of a crowded block that meet all others, about
+PIVOTS = 8
+#: times that a crowded block is dealt by further bits
+LEVELS = 3
+#: shingles, and texts, that one cell of a large candidate group may hold
+CELL_SHINGLES, CELL_TEXTS = 1 << 20, 512
+#: keys whose rows are joined by broadcast because each has over a 1/HOT_KEYS of all rows: there are no more than that
+HOT_KEYS, HOT_ROWS = 50_000, 1000
 
 
 @dataclass(frozen=True)
 class Rule:
-    """What links two texts: words of a shingle, prints and their bits (64 or 32), the budgets of differing bits, and
-    whether a shingle counts once however often a text repeats it."""
+    """What links two texts: words of a shingle, the budget of differing bits, whether a shingle counts once however
+    often a text repeats it, and the draws and shingles of a draw if blocks are dealt by draws."""
 
     words: int = 4
-    prints: int = 1
-    bits: int = 64
     budget: int = 4
-    total: int | None = None
     once: bool = False
-
-    @property
-    def longs(self) -> int:
-        """64-bit words of a code."""
-        return -(-self.prints * self.bits // 64)
+    draws: int = 0
+    sample: int = 4
 
 
-#: candidates for a similarity of 0.8 of the sets of five-word shingles: two such texts differ in 29 of 192 bits on
-#: average (an angle of arccos(2 J / (1 + J)), as a share of half a turn); with three standard deviations more
-SIMILAR = Rule(words=5, prints=6, bits=32, budget=4, total=44, once=True)
+#: candidates for a similarity of 0.8 of the sets of five-word shingles: two such texts differ in 9.7 of 64 bits on
+#: average (an angle of arccos(2 J / (1 + J)), as a share of half a turn), with three standard deviations more
+SIMILAR = Rule(words=5, budget=18, once=True, draws=10)
 SIMILARITY = 0.8
-#: shingles, and texts, that one cell of a large candidate group may hold
-CELL_SHINGLES, CELL_TEXTS = 1 << 20, 512
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -87,51 +93,53 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * total > len(big)).tobytes(), "big")
 
 
-def code(text: str | None, rule: Rule) -> list[int]:
-    """The prints of a text in 64-bit words; the first word is the plain fingerprint."""
-    return _code(shingle_hashes(text, rule.words), rule)
+def code(text: str | None, rule: Rule) -> int:
+    """The fingerprint of a text."""
+    h = shingle_hashes(text, rule.words)
+    return majority(np.unique(h) if rule.once else h) if len(h) else 0
 
 
-def _code(h: np.ndarray, rule: Rule) -> list[int]:
-    h, out = np.unique(h) if rule.once else h, []
-    for k in range(rule.longs):
-        if k:  # other bits of the same shingles
-            h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        out.append(majority(h) if len(h) else 0)
-    return out
+def draw_keys(h: np.ndarray, rule: Rule) -> np.ndarray:
+    """For each draw, a hash of the `sample` smallest of the distinct shingles in the draw's order."""
+    out, step = [], max(1, (1 << 20) // max(1, len(h)))
+    for at in range(0, rule.draws, step):
+        seeds = np.arange(at + 1, min(at + step, rule.draws) + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+        x = (h ^ seeds) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(29)
+        if len(h) > rule.sample:
+            x = np.partition(x, rule.sample - 1, axis=1)[:, : rule.sample]
+        out.append(((x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)).sum(axis=1, dtype=np.uint64))
+    return np.concatenate([np.zeros(0, dtype=np.uint64), *out])
 
 
 def codes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, h (a hash of the text), the words c0, c1, ... of the code (as signed longs), and of the set of shingles
-    its size w and a hash s, of every row."""
-    names = _names(rule)
+    """doc_id, h (a hash of the text), c (the fingerprint, as a signed long), w and s (size and hash of the set of
+    shingles) and d (the keys of the draws) of every row."""
 
     def work(batches):
         for batch in batches:
-            own, sets = [], []
-            for t in batch.column(1).to_pylist():
-                h = shingle_hashes(t, rule.words)
+            prints, sets, keys = [], [], [np.zeros(0, dtype=np.uint64)]
+            for t in batch.column(1):
+                h = shingle_hashes(t.as_py(), rule.words)
                 one = np.unique(h)
-                own.append(_code(one if rule.once else h, rule))
+                own = one if rule.once else h
+                prints.append(majority(own) if len(own) else 0)
                 sets.append((len(one), xxhash.xxh64_intdigest(one.tobytes(), SEED)))
-            own = np.array(own, dtype=np.uint64).view(np.int64).reshape(-1, rule.longs)
+                keys.append(draw_keys(one, rule))
             sets = np.array(sets, dtype=np.uint64).view(np.int64).reshape(-1, 2)
-            more = [*(pa.array(own[:, k]) for k in range(rule.longs)), pa.array(sets[:, 0]), pa.array(sets[:, 1])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *more], ["doc_id", "h", *names, "w", "s"])
+            d = pa.ListArray.from_arrays(np.arange(len(prints) + 1, dtype=np.int32) * rule.draws, pa.array(np.concatenate(keys).view(np.int64)))
+            c = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), c, pa.array(sets[:, 0]), pa.array(sets[:, 1]), d], ["doc_id", "h", "c", "w", "s", "d"])
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("h"))
-    return rows.mapInArrow(work, "doc_id long, h long, " + ", ".join(f"{c} long" for c in (*names, "w", "s")))
-
-
-def _names(rule: Rule) -> list[str]:
-    return [f"c{k}" for k in range(rule.longs)]
+    return rows.mapInArrow(work, "doc_id long, h long, c long, w long, s long, d array<long>")
 
 
 # ---------------------------------------------------------------- the trie join inside blocks
 
 
-def trie_pairs(values: np.ndarray, bounds: np.ndarray, budget: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def trie_pairs(values: np.ndarray, bounds: np.ndarray, budget: int, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i, j) of all pairs of a block whose values differ in at most `budget` bits.
 
     `values` (uint64) is sorted within each block; block k is values[bounds[k]:bounds[k + 1]]. A trie node is a run of
@@ -217,40 +225,89 @@ def _blocks(batches, n_key: int, most: int = 1 << 16):
         yield np.concatenate(held)
 
 
-def _block_links(batches, rule: Rule, n_key: int):
-    """From rows (key, the print's number first; id; words of the code) sorted by key, the links that span each
-    block's groups: every member to the group's first."""
+def _trie_links(batches, rule: Rule, n_key: int, labels: bool = False):
+    """From rows (key..., id, v) sorted by key, the links that span each block's groups: every member to the first.
+
+    With `labels`, rows are (key..., rank, home, id, v), sorted by key and rank, and every row that is at home or
+    linked comes out as (key..., id, root, home).
+    """
     for own in _blocks(batches, n_key):
         starts = np.flatnonzero(np.concatenate(([True], (own[1:, :n_key] != own[:-1, :n_key]).any(axis=1))))
         sizes = np.diff(np.append(starts, len(own)))
-        own, sizes = own[np.repeat(sizes > 1, sizes)], sizes[sizes > 1]
-        prints, ids, words = own[:, 0], own[:, n_key], own[:, n_key + 1 :].view(np.uint64)
+        if not labels:
+            own, sizes = own[np.repeat(sizes > 1, sizes)], sizes[sizes > 1]
+        ids, values = own[:, -2], own[:, -1].view(np.uint64)
         k, at = 0, 0
         while k < len(sizes):
             cost = np.cumsum(sizes[k : k + 4096].astype(np.int64) ** 2)
             end = k + max(1, int(np.searchsorted(cost, 2 * BLOCK_LIMIT**2, "right")))
             block = np.repeat(np.arange(end - k), sizes[k:end])
             here = slice(at, at + len(block))
-            c, i_d = words[here], ids[here]
-            v = print_of(c, prints[here], rule)
+            v, i_d = values[here], ids[here]
             by = np.lexsort((v, block))
-            c, i_d = c[by], i_d[by]
-            i, j = trie_pairs(v[by], np.concatenate(([0], np.cumsum(sizes[k:end]))), rule.budget, rule.bits)
-            if rule.total is not None:
-                near = np.bitwise_count(c[i] ^ c[j]).sum(axis=1, dtype=np.int32) <= rule.total
-                i, j = i[near], j[near]
-            root = forest(len(block), i, j)
-            far = np.flatnonzero(root != np.arange(len(block)))
-            yield pa.RecordBatch.from_arrays([pa.array(i_d[far]), pa.array(i_d[root[far]])], ["a", "b"])
+            i, j = trie_pairs(v[by], np.concatenate(([0], np.cumsum(sizes[k:end]))), rule.budget)
+            root = forest(len(block), by[i], by[j])
+            far = root != np.arange(len(block))
+            if labels:
+                home = own[here, n_key + 1]
+                out = np.flatnonzero(far | (home == 1))
+                columns = [*(own[here, c][out] for c in range(n_key)), i_d[out], i_d[root[out]], home[out]]
+            else:
+                out = np.flatnonzero(far)
+                columns = [i_d[out], i_d[root[out]]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f"_{c}" for c in range(len(columns))])
             k, at = end, at + len(block)
 
 
-def print_of(words: np.ndarray, number: np.ndarray, rule: Rule) -> np.ndarray:
-    """The print of the given number of each code."""
-    if rule.bits == 64:
-        return words[np.arange(len(words)), number]
-    both = words[np.arange(len(words)), number // 2]
-    return np.where(number % 2 == 0, both >> np.uint64(32), both & np.uint64(0xFFFFFFFF))
+# ---------------------------------------------------------------- joins on keys of which one may hold most rows
+
+
+def hot_join(rows: DataFrame, other: DataFrame, key: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """rows join other, which has one row a key and, in `count`, the key's rows: keys that hold a large share of the
+    rows are at most HOT_KEYS, so their part of `other` is broadcast, and their rows stay where they are."""
+    hot = F.col(count) > max(HOT_ROWS, total // HOT_KEYS)
+    many, few = F.broadcast(other.where(hot)), other.where(~hot)
+    cold = rows.join(many.select(*key), key, "left_anti").join(few, key, how)
+    return cold if how == "left_anti" else rows.join(many, key, how).unionByName(cold)
+
+
+# ---------------------------------------------------------------- crowded blocks
+
+def first_look(rows: DataFrame, hot: DataFrame, total: int, work: Callable, stages: Stages) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of crowded blocks (part, key, count, cells): the links of each cell with the block's pivots, the members' labels
+    (cell, root), and for every block the label `best` that most members have and `rest`, the number of the others.
+
+    `rows` has part, key, id and what `work(n_key, labels)` compares.
+    """
+    placed = hot_join(rows, hot, ["part", "key"], "count", total).withColumn("cell", F.pmod(F.xxhash64("id"), "cells"))
+    pivot = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.floor(F.col("count") / PIVOTS), F.lit(1))) == 0
+    cells = F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).otherwise(F.array("cell"))
+    payload = [c for c in rows.columns if c not in ("part", "key", "id")]
+    dealt = placed.withColumn("rank", F.when(pivot, 0).otherwise(1).cast("long")).withColumn("to", F.explode(cells))
+    dealt = dealt.select("part", "key", F.col("to").alias("cell"), "rank", (F.col("to") == F.col("cell")).cast("long").alias("home"), "id", *payload)
+    dealt = dealt.repartition("part", "key", "cell").sortWithinPartitions("part", "key", "cell", "rank", "id")
+    found = stages.write(dealt.mapInArrow(work(3, True), "part long, key long, cell long, id long, root long, home long"), "looked")
+    labels = found.where("home = 1").drop("home")
+    each = labels.groupBy("part", "key", "root").agg(F.count("*").alias("n"))
+    best = each.groupBy("part", "key").agg(F.max_by("root", F.struct("n", "root")).alias("best"), (F.sum("n") - F.max("n")).alias("rest"))
+    best = stages.write(best.join(hot.select("part", "key", "cells"), ["part", "key"]), "best")
+    return found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")), labels, best
+
+
+def second_look(rows: DataFrame, labels: DataFrame, best: DataFrame, limit: int, work: Callable, stages: Stages) -> DataFrame:
+    """The links between the members that don't have their block's best label and all members, for the blocks in `best`."""
+    each = best.where("rest > 0").withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
+    marked = labels.join(each, ["part", "key", "cell"]).withColumn("askers", F.ceil(F.col("rest") / limit))
+    marked = marked.select("part", "key", "id", "cell", "cells", "askers", (F.col("root") != F.col("best")).alias("asks"))
+    held = rows.join(marked, ["part", "key", "id"])
+    payload = [c for c in rows.columns if c not in ("part", "key", "id")]
+    zero = F.lit(0).cast("long")
+    answers = held.withColumn("asker", F.explode(F.sequence(zero, F.col("askers") - 1)))
+    asks = held.where("asks").withColumn("asker", F.pmod(F.xxhash64("id", F.lit(2)), "askers")).withColumn("cell", F.explode(F.sequence(zero, F.col("cells") - 1)))
+    keys = ["part", "key", "asker", "cell"]
+    dealt = answers.select(*keys, "id", *payload).union(asks.select(*keys, "id", *payload))
+    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    return stages.write(dealt.mapInArrow(work(4, False), "a long, b long").where("a <> b"), "again")
 
 
 # ---------------------------------------------------------------- dealing into blocks
@@ -266,62 +323,51 @@ def _signed(mask: int) -> int:
 
 
 def first_masks(rule: Rule) -> list[int]:
-    return [x | y for x, y in combinations(_runs(list(range(rule.bits)), rule.budget + 2), 2)]
+    return [x | y for x, y in combinations(_runs(list(range(BITS)), rule.budget + 2), 2)]
 
 
 def finer_masks(mask: int, rule: Rule) -> list[int]:
-    return [mask | run for run in _runs([p for p in range(rule.bits) if not mask >> p & 1], rule.budget + 1)]
+    """Masks of which two fingerprints within the budget, equal in `mask`, agree on one."""
+    return [mask | run for run in _runs([p for p in range(BITS) if not mask >> p & 1], rule.budget + 1)]
 
 
-def _longs(masks: list[int]):
-    return F.array(*(F.lit(_signed(m)).cast("long") for m in masks))
-
-
-def _linked(keyed: DataFrame, key: list[str], names: list[str], rule: Rule, stages: Stages) -> DataFrame:
-    # sorted rows rather than lists: neither the JVM nor Python holds more than some blocks at once
-    rows = keyed.select(*(F.col(c).cast("long").alias(c) for c in (*key, "id", *names)))
-    rows = rows.repartition(*key).sortWithinPartitions(*reversed(key))
-    return stages.write(rows.mapInArrow(lambda b: _block_links(b, rule, len(key)), "a long, b long").distinct(), "links")
+def links(nodes: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT) -> DataFrame:
+    """Links (a, b) between the ids of `nodes` (id, c, d): they span all groups that the rule links."""
 
+    def work(n_key: int, labels: bool) -> Callable:
+        return lambda batches: _trie_links(batches, rule, n_key, labels)
 
-def links(nodes: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT) -> DataFrame:
-    """Links (a, b) between the ids of `nodes` (id, distinct codes c0, ...): they span all groups that the rule links."""
-    names, found = _names(rule), []
-    values = [F.col(c) for c in names] if rule.bits == 64 else [x for c in names for x in (F.shiftrightunsigned(c, 32), F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)))]
-    masks = first_masks(rule)
-    prints = F.array(*(F.struct(F.lit(k).alias("print"), v.alias("v")) for k, v in enumerate(values[: rule.prints])))
-    each = nodes.select("id", *names, F.explode(prints).alias("p")).select("id", *names, "p.print", "p.v")
-    keyed = each.withColumn("mask", F.explode(_longs(masks)))
-    key = ["print", "mask", "key"]
-    while True:
-        keyed = keyed.withColumn("key", F.col("v").bitwiseAND(F.col("mask")))
-        counts = keyed.groupBy(*key).count()
-        hot = stages.write(counts.where(F.col("count") > limit), "hot")
-        more = not hot.isEmpty()
-        small = keyed.join(hot, key, "left_anti") if more else keyed
-        found.append(_linked(small, key, names, rule, stages))
-        if not more:
-            break
-        large = keyed.join(hot, key)
-        free = F.lit(rule.bits) - F.bit_count("mask")
-        # a block goes to cells if that makes no more rows than dealing it again, or if its free bits are within the
-        # budget: fewer runs than `budget + 1` would part codes that differ in just these bits
-        cells = F.ceil(2 * F.col("count") / limit)
-        whole = (cells <= rule.budget + 1) | (free <= rule.budget)
-        pairs = large.where(whole).withColumn("cell", F.pmod(F.xxhash64("id"), cells)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cells - 1)))
-        pairs = pairs.withColumn("low", F.least("cell", "other")).withColumn("high", F.greatest("cell", "other"))
-        found.append(_linked(pairs, [*key, "low", "high"], names, rule, stages))
-        finer = {m: finer_masks(m, rule) for m in masks if rule.bits - m.bit_count() > rule.budget}
-        if not finer:
+    nodes_n = nodes.count()
+    masks, found = [] if rule.draws else first_masks(rule), []
+    if rule.draws:
+        keyed = nodes.select("id", F.col("c").alias("v"), F.posexplode("d").alias("part", "key")).select(F.col("part").cast("long").alias("part"), "key", "id", "v")
+    else:
+        each = F.explode(F.array(*(F.lit(_signed(m)).cast("long") for m in masks)))
+        keyed = nodes.select("id", F.col("c").alias("v"), each.alias("part")).select("part", F.col("v").bitwiseAND(F.col("part")).alias("key"), "id", "v")
+    total = nodes_n * (rule.draws or len(masks))
+    for level in range(LEVELS + 1):
+        counts = keyed.groupBy("part", "key").agg(F.count("*").alias("count"))
+        hot = stages.write(counts.where(F.col("count") > limit).withColumn("cells", F.ceil(2 * F.col("count") / limit)), "hot")
+        crowded = not hot.isEmpty()
+        small = hot_join(keyed, hot, ["part", "key"], "count", total, "left_anti") if crowded else keyed
+        small = small.repartition("part", "key").sortWithinPartitions("part", "key")
+        found.append(stages.write(small.mapInArrow(work(2, False), "a long, b long").distinct(), "links"))
+        if not crowded:
             break
-        masks = sorted({f for fs in finer.values() for f in fs})
-        step = nodes.sparkSession.createDataFrame([(_signed(m), [_signed(f) for f in fs]) for m, fs in finer.items()], "mask long, finer array<long>")
-        # one row for each mask of this level: their number follows from the rule and the level alone
-        dealt = large.where(~whole).join(F.broadcast(step), "mask")
-        dealt = dealt.select("id", *names, "print", "v", F.explode("finer").alias("mask")).dropDuplicates(["id", "print", "mask"])
-        keyed = stages.write(dealt, "dealt")
-        if keyed.isEmpty():
+        own, labels, best = first_look(keyed, hot, total, work, stages)
+        # a block whose rest costs more rows than another dealing is dealt again, while it has bits for it
+        finer = {m: finer_masks(m, rule) for m in masks if level < LEVELS and BITS - m.bit_count() > rule.budget}
+        again = (F.ceil(2 * F.col("rest") / limit) > rule.budget + 1) & F.col("part").isin([_signed(m) for m in finer])
+        found += [own.distinct(), second_look(keyed, labels, best.where(~again), limit // 2 or 1, work, stages)]
+        left = stages.write(best.where(again).join(hot.select("part", "key", "count"), ["part", "key"]), "left")
+        if left.isEmpty():
             break
+        # the masks of a level follow from the rule and the level: 15, then five times as many each time at most
+        step = nodes.sparkSession.createDataFrame([(_signed(m), [_signed(f) for f in fs]) for m, fs in finer.items()], "part long, finer array<long>")
+        dealt = hot_join(keyed, left.select("part", "key", "count"), ["part", "key"], "count", total).join(F.broadcast(step), "part")
+        dealt = dealt.select(F.explode("finer").alias("part"), "id", "v").dropDuplicates(["id", "part"])
+        keyed = stages.write(dealt.select("part", F.col("v").bitwiseAND(F.col("part")).alias("key"), "id", "v"), "dealt")
+        masks, total = sorted({f for fs in finer.values() for f in fs}), keyed.count()
     out = found[0]
     for df in found[1:]:
         out = out.union(df)
@@ -332,24 +378,25 @@ def links(nodes: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT
 
 
 def components(edges: DataFrame, stages: Stages) -> DataFrame:
-    """node and root (the smallest node it reaches) for every node of the edges (a, b), by alternating stars.
+    """node and root (the smallest node it reaches, itself included) for every node of the edges (a, b), by alternating
+    stars.
 
     Each round hangs every node's larger neighbours, then its smaller ones, on the smallest node around it, until
     nothing changes; the edges then form one star for each component.
     """
 
-    def star(df: DataFrame, large: bool) -> DataFrame:
+    def star(df: DataFrame, large: bool, total: int) -> DataFrame:
         if large:
             df = df.union(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
         else:
             df = df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = df.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        joined = df.join(low, "a")
+        low = stages.write(df.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), "low")
+        joined = hot_join(df, low, ["a"], "n", total)
         if large:
             out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
             out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        return out.where("a <> b").distinct()
+        return stages.write(out.where("a <> b").distinct(), "stars")
 
     def mark(df: DataFrame):
         return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -357,25 +404,28 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     now = stages.write(edges.where("a <> b").distinct(), "edges")
     seen = mark(now)
     while seen[0]:
-        new = stages.write(star(star(now, True), False), "stars")
-        now, old = new, now
-        stages.drop(old)
+        half = star(now, True, 2 * seen[0])
+        new = star(half, False, seen[0])
+        stages.drop(now, half)
+        now = new
         if (got := mark(now)) == seen:
             break
         seen = got
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
 # ---------------------------------------------------------------- the check of candidates on their shingles
 
 
-def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+def similar_links(sets: list[np.ndarray], similarity: float, ids: list | None = None) -> list[tuple[int, int]]:
     """Links that span the groups of sets (sorted, without repeats) whose pairs have at least that Jaccard similarity.
 
-    Every pair is compared, unless the links before connect it already or its sizes rule it out.
+    Every pair is compared, unless the links before connect it already or its sizes rule it out. Sets of one id are one.
     """
     size = np.array([len(x) for x in sets])
     label, out = np.arange(len(sets)), []
+    if ids is not None:
+        label = np.unique(np.array(ids), return_inverse=True)[1].reshape(-1)
     by = np.argsort(size, kind="stable")
     for k, i in enumerate(by):
         # smaller sets, the nearest in size first, down to the smallest that may be similar
@@ -391,88 +441,105 @@ def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int,
     return out
 
 
-def _cell_links(batches, words: int, similarity: float):
-    """From rows (group, low, high, id, text) sorted by the first three, the links of each pair of cells."""
-    now, ids, sets = None, [], []
+def _text_links(batches, words: int, similarity: float, n_key: int, labels: bool = False):
+    """What `_trie_links` is for fingerprints, for rows with a text in their place."""
+    now, held, sets = None, [], []
 
     def found():
-        pairs = similar_links(sets, similarity)
-        return pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in pairs], pa.int64()), pa.array([ids[j] for _, j in pairs], pa.int64())], ["a", "b"])
+        ids = [h[-1] for h in held]
+        pairs = similar_links(sets, similarity, ids)
+        if not labels:
+            columns = [[ids[i] for i, _ in pairs], [ids[j] for _, j in pairs]]
+        else:
+            root = forest(len(ids), *(np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True))).tolist() if pairs else range(len(ids))
+            out = [(*now, ids[k], ids[r], held[k][1]) for k, r in enumerate(root) if held[k][1] or r != k]
+            columns = list(zip(*out, strict=True)) or [()] * (n_key + 3)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [f"_{c}" for c in range(len(columns))])
 
     for batch in batches:
-        keys = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
-        for key, i, text in zip(keys, batch.column(3).to_pylist(), batch.column(4), strict=True):
-            if key != now:
-                if ids:
+        longs = zip(*(c.to_pylist() for c in batch.columns[:-1]), strict=True)
+        for own, text in zip(longs, batch.column(batch.num_columns - 1), strict=True):
+            if own[:n_key] != now:
+                if held:
                     yield found()
-                now, ids, sets = key, [], []
-            ids.append(i)
+                now, held, sets = own[:n_key], [], []
+            held.append(own[n_key:])
             sets.append(np.unique(shingle_hashes(text.as_py(), words)))
-    if ids:
+    if held:
         yield found()
 
 
 def confirmed(nodes: DataFrame, roots: DataFrame, docs: DataFrame, rule: Rule, similarity: float, stages: Stages) -> DataFrame:
     """Links (a, b) that span the groups of similar texts within the candidate groups.
 
-    A candidate group comes to one task with its texts; a large one is cut into cells, and every two cells meet.
+    A candidate group comes to one task with its texts; a larger one is crowded.
     """
-    several = roots.select("node", "root").union(roots.select(F.col("root").alias("node"), "root")).distinct()
-    members = stages.write(nodes.select("id", "first", "w").join(several, F.col("id") == F.col("node")).drop("node"), "members")
-    sums = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("w").alias("w"))
-    sums = sums.select("root", F.greatest(F.ceil(F.col("n") / CELL_TEXTS), F.ceil(F.col("w") / CELL_SHINGLES), F.lit(1)).alias("cells"))
-    own = members.join(sums, "root").select("id", "root", "cells", F.coalesce("first.doc_id", F.lit(-1)).alias("d"), F.col("first.h").alias("h"))
+
+    def work(n_key: int, labels: bool) -> Callable:
+        return lambda batches: _text_links(batches, rule.words, similarity, n_key, labels)
+
+    members = stages.write(nodes.select("id", "first", "w").join(roots, F.col("id") == F.col("node")).drop("node"), "members")
+    total = members.count()
+    sums = members.groupBy("root").agg(F.count("*").alias("count"), F.sum("w").alias("w"))
+    sums = stages.write(sums.select("root", "count", F.greatest(F.ceil(F.col("count") / CELL_TEXTS), F.ceil(F.col("w") / CELL_SHINGLES), F.lit(1)).alias("cells")), "sums")
+    own = hot_join(members, sums, ["root"], "count", total).select("id", "root", "cells", F.coalesce("first.doc_id", F.lit(-1)).alias("d"), F.col("first.h").alias("h"))
     # a null id stands with -1: rows of one hash have one text, whatever their id
     texts = pick(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("d"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
-    held = texts.join(own, ["d", "h"]).dropDuplicates(["d", "h", "id"])
-    pairs = held.withColumn("cell", F.pmod(F.xxhash64("id"), "cells")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
-    key = ["root", "low", "high"]
-    pairs = pairs.select("root", F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high"), "id", "text")
-    pairs = pairs.repartition(*key).sortWithinPartitions(*key)
-    return stages.write(pairs.mapInArrow(lambda b: _cell_links(b, rule.words, similarity), "a long, b long"), "confirmed")
+    held = texts.join(own, ["d", "h"]).dropDuplicates(["d", "h", "id"]).select(F.lit(0).cast("long").alias("part"), F.col("root").alias("key"), "id", "cells", "text")
+    held = stages.write(held, "texts")
+    rows = held.drop("cells")
+    small = held.where("cells = 1").select("part", "key", "id", "text").repartition("key").sortWithinPartitions("key")
+    found = stages.write(small.mapInArrow(work(2, False), "a long, b long").where("a <> b"), "confirmed")
+    hot = sums.where("cells > 1").select(F.lit(0).cast("long").alias("part"), F.col("root").alias("key"), "count", "cells")
+    if hot.isEmpty():
+        return found
+    links_, labels, best = first_look(rows, hot, total, work, stages)
+    return found.union(links_).union(second_look(rows, labels, best, CELL_TEXTS, work, stages))
 
 
 def classes(rows: DataFrame, rule: Rule, stages: Stages, limit: int = BLOCK_LIMIT, docs: DataFrame | None = None, similarity: float = SIMILARITY) -> DataFrame:
-    """Of `codes`: c0, ..., first (has_id, doc_id, h of the component's first row, by doc_id, null last, then h) and n (its rows).
+    """Of `codes`: c, own (rows of this code), first (no_id, doc_id, h of the component's first row, by doc_id, null
+    last, then h) and n (the component's rows).
 
     With `docs`, the components of the rule are candidates: only links of texts of that similarity stay.
     """
-    names = _names(rule)
     # repeats of a code are one node, with the count of its rows: a hot group of copies is one row from here on
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
     # one code may stand for several sets of shingles, which the check must tell apart
-    same = names if docs is None else [*names, "s"]
-    distinct = rows.groupBy(*same).agg(F.min(first).alias("first"), F.count("*").alias("n"), F.first("w").alias("w"))
+    same = ["c"] if docs is None else ["c", "s"]
+    distinct = rows.groupBy(*same).agg(F.min(first).alias("first"), F.count("*").alias("own"), F.first("w").alias("w"), F.first("d").alias("d"))
     nodes = stages.write(distinct.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    roots = components(links(nodes.select("id", *names), rule, stages, limit), stages)
+    roots = components(links(nodes.select("id", "c", "d"), rule, stages, limit), stages)
     if docs is not None:
         roots = components(confirmed(nodes, roots, docs, rule, similarity, stages), stages)
-    of = stages.write(nodes.join(roots, nodes.id == roots.node, "left").drop("node"), "roots")
-    # a code without links is its own group; the groups with links need another aggregation
-    linked = of.withColumn("group", F.coalesce("root", "id"))
-    several = of.where("root is not null").select(F.col("root").alias("group")).distinct()
-    groups = stages.write(linked.join(several, "group", "left_semi").groupBy("group").agg(F.min("first").alias("group_first"), F.sum("n").alias("group_n")), "groups")
-    out = linked.join(groups, "group", "left").select(*names, F.coalesce("group_first", "first").alias("first"), F.coalesce("group_n", "n").alias("n"))
-    return stages.write(out, "classes")
+    of = stages.write(nodes.select("id", "c", "own", "first").join(roots, F.col("id") == F.col("node"), "left").drop("node"), "roots")
+    # a code without links is its own group
+    linked = of.where("root is not null")
+    groups = stages.write(linked.groupBy("root").agg(F.min("first").alias("group_first"), F.sum("own").alias("n"), F.count("*").alias("count")), "groups")
+    joined = hot_join(linked, groups, ["root"], "count", nodes.count()).select("c", "own", F.col("group_first").alias("first"), "n")
+    return stages.write(joined.union(of.where("root is null").select("c", "own", "first", F.col("own").alias("n"))), "classes")
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), limit: int = BLOCK_LIMIT) -> DataFrame:
-    """One row for each row of docs: doc_id, fingerprint (16 hex digits a word of the code), component_id and
-    component_rows (the smallest doc_id of its component, and the number of its rows)."""
-    names, stages = _names(rule), Stages(docs.sparkSession, "simhash")
+    """One row for each row of docs: doc_id, fingerprint (16 hex digits), component_id and component_rows (the smallest
+    doc_id of its component, and the number of its rows)."""
+    stages = Stages(docs.sparkSession, "simhash")
     rows = stages.write(codes(docs, rule), "codes")
-    text = F.concat(*(F.lower(F.lpad(F.hex(c), 16, "0")) for c in names))
-    found = rows.join(classes(rows, rule, stages, limit), names)
-    return found.select("doc_id", text.alias("fingerprint"), F.col("first.doc_id").alias("component_id"), F.col("n").alias("component_rows"))
+    found = hot_join(rows.select("doc_id", "c"), classes(rows, rule, stages, limit), ["c"], "own", rows.count())
+    return found.select("doc_id", F.lower(F.lpad(F.hex("c"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"), F.col("n").alias("component_rows"))
 
 
-def without_near_duplicates(docs: DataFrame, rule: Rule = SIMILAR, similarity: float = SIMILARITY) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, rule: Rule = SIMILAR, similarity: float = SIMILARITY, limit: int = BLOCK_LIMIT) -> DataFrame:
     """The rows of docs with one row of each component of texts whose sets of shingles have that Jaccard similarity
     (among the candidates of the rule), with all their columns: the row of the smallest doc_id (a null
     one last; of several such rows, by a hash of the text), and one of the rows that repeat it in doc_id and text."""
     stages = Stages(docs.sparkSession, "simhash")
     rows = stages.write(codes(docs, rule), "codes")
-    firsts = classes(rows, rule, stages, docs=docs, similarity=similarity).select(F.col("first.doc_id").alias("_doc_id"), F.col("first.h").alias("_first_h")).distinct()
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
-    kept = keyed.join(firsts, keyed["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.col("_h") == F.col("_first_h")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
+    kept = classes(rows, rule, stages, limit, docs, similarity).select(F.coalesce("first.doc_id", F.lit(-1)).alias("kept_id"), F.col("first.no_id").alias("kept_no_id"), F.col("first.h").alias("kept_h")).distinct()
+    # the columns of docs go by number, so that none has the name of another or of these
+    names = docs.columns
+    at = {n: f"c{next(i for i, c in enumerate(names) if c == n)}" for n in ("doc_id", "text")}
+    own = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    own = own.withColumns({"kept_id": F.coalesce(F.col(at["doc_id"]).cast("long"), F.lit(-1)), "kept_no_id": F.col(at["doc_id"]).isNull(), "kept_h": F.xxhash64(at["text"])})
+    key = ["kept_id", "kept_no_id", "kept_h"]
+    return own.join(kept, key, "left_semi").dropDuplicates(key).drop(*key).toDF(*names)
