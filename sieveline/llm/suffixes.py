@@ -9,7 +9,7 @@ of all texts into parts without sending 50 bytes for each position:
              chunk holds. Only these, and those that two documents of the chunk hold, are followed up.
 3. sorted    each chunk sends the bytes around its repeated anchors, equal ones once with their smallest document.
              A part sorts all suffixes that start at a window there, for the first 50 bytes: the suffix array of the
-             part. Sorting is deep-shallow: multikey quicksort with characters of 8 bytes to a depth of 16, then a
+             part, made in slices of whole anchors (of one very common anchor, by the place in the window). Sorting is deep-shallow: multikey quicksort with characters of 8 bytes to a depth of 16, then a
              blind trie for each group that is still tied, whose nodes skip the common prefix of the group and branch
              on one byte. Each run of suffixes equal in 50 bytes has a smallest document; the answer says for which
              windows it is smaller than the sender's.
@@ -18,6 +18,10 @@ of all texts into parts without sending 50 bytes for each position:
 Exact: a window is removed if and only if its 50 bytes also start in a document with a smaller doc_id (of any part or
 chunk). Groups of copies are folded within each chunk before they are sent, and once more in the part.
 
+Memory: texts are worked on in segments and parts in slices, so a worker holds its chunk (one text at least), about a
+dozen bytes for each of its bytes if all of it is repeated, and one slice. Rows: a chunk sends a row to each part, and a
+part is of at least PART_BYTES of text, so rows grow with the input up to MIN_PARTS * PART_BYTES and are of kilobytes beyond.
+
 Defined cases: null counts as empty; a text of fewer than 50 bytes loses nothing; rows with equal doc_id don't remove
 anything from each other; a null doc_id counts as larger than all others; an empty table gives an empty result; other
 columns are not read.
@@ -38,11 +42,14 @@ from sieveline.llm.common import Stages, pick
 LENGTH = 50
 GRAM = 16
 SHALLOW = 16
-#: bytes of text in a chunk, and bytes of all text for each part
+#: bytes of text in a chunk, and bytes of all text for each part; the parts of a small table
 CHUNK_BYTES = 4 << 20
-PART_BYTES = 4 << 20
-#: positions that are hashed at once
+PART_BYTES = 64 << 20
+MIN_PARTS = 32
+#: positions that are hashed at once, anchors whose bytes are copied at once, and suffixes that are sorted at once
 SEGMENT = 1 << 20
+PIECE = 1 << 15
+SLICE = 1 << 22
 LAST_ID = (1 << 63) - 1
 _BACK, _AHEAD = LENGTH - GRAM, LENGTH
 _CONTEXT = _BACK + _AHEAD  # bytes around an anchor that its windows can cover
@@ -71,9 +78,15 @@ def anchors(body: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of all windows inside documents: runs of windows with one anchor, as (anchor, first start, last start, document)."""
     bounds = np.concatenate(([0], np.cumsum(lens)))
     n, reach = len(body), LENGTH - GRAM + 1
-    out = []
+    long = lens >= LENGTH
+    # windows start in runs of positions, one for each text that is long enough
+    run_from, run_to = bounds[:-1][long], bounds[1:][long] - LENGTH + 1
+    out = [tuple(np.zeros(0, dtype=np.int64) for _ in range(4))]
     for lo in range(0, max(0, n - LENGTH + 1), SEGMENT):
         hi = min(lo + SEGMENT, n - LENGTH + 1)
+        a, b = np.searchsorted(run_to, lo, "right"), np.searchsorted(run_from, hi, "left")
+        if a >= b:
+            continue
         w = _words(body[lo : hi + LENGTH])
         grams = hi - lo + reach - 1
         h = _mix(w[:grams].astype(np.uint64), w[8 : 8 + grams].astype(np.uint64), _M1, _M2)
@@ -83,20 +96,16 @@ def anchors(body: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, ...]:
             h = np.minimum(h[: len(h) - size], h[size:])
             size *= 2
         h = np.minimum(h[: hi - lo], h[reach - size : reach - size + hi - lo])
-        out.append((h & np.uint64((1 << 24) - 1)).astype(np.int64) + lo)
-    if not out:
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
-    inside = np.zeros(n + 1, dtype=np.int8)
-    long = lens >= LENGTH
-    np.add.at(inside, bounds[:-1][long], 1)
-    np.add.at(inside, bounds[1:][long] - LENGTH + 1, -1)
-    starts = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
-    at = np.concatenate(out)[starts]
-    if not len(starts):
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
-    cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    last = np.concatenate((cut[1:] - 1, [len(starts) - 1]))
-    return at[cut], starts[cut], starts[last], np.searchsorted(bounds, at[cut], "right") - 1
+        inside = np.zeros(hi - lo + 1, dtype=np.int32)
+        np.add.at(inside, np.maximum(run_from[a:b], lo) - lo, 1)
+        np.add.at(inside, np.minimum(run_to[a:b], hi) - lo, -1)
+        starts = np.flatnonzero(np.cumsum(inside[:-1]))
+        at = (h[starts] & np.uint64((1 << 24) - 1)).astype(np.int64) + lo
+        starts += lo
+        cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        last = np.concatenate((cut[1:] - 1, [len(starts) - 1]))
+        out.append((at[cut], starts[cut], starts[last], np.searchsorted(bounds, at[cut], "right") - 1))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 class Chunk:
@@ -137,12 +146,15 @@ class Chunk:
         np.maximum.at(high, self.key_of, self.order[self.doc])
         repeated |= low < high
         kept = np.flatnonzero(repeated[self.key_of])
-        at, first, last = self.at[kept], self.first[kept], self.last[kept]
-        place = at[:, None] + np.arange(-_BACK, _AHEAD)
-        used = (place >= first[:, None]) & (place < last[:, None] + LENGTH)
         rows = np.zeros((len(kept), _ROW), dtype=np.uint8)
-        rows[:, :_CONTEXT] = np.where(used, self.body[np.clip(place, 0, max(0, len(self.body) - 1))], 0)
-        rows[:, _CONTEXT], rows[:, _CONTEXT + 1] = at - last, at - first
+        for lo in range(0, len(kept), PIECE):
+            own = kept[lo : lo + PIECE]
+            at, first, last = self.at[own], self.first[own], self.last[own]
+            place = at[:, None] + np.arange(-_BACK, _AHEAD)
+            used = (place >= first[:, None]) & (place < last[:, None] + LENGTH)
+            here = rows[lo : lo + PIECE]
+            here[:, :_CONTEXT] = np.where(used, self.body[np.clip(place, 0, max(0, len(self.body) - 1))], 0)
+            here[:, _CONTEXT], here[:, _CONTEXT + 1] = at - last, at - first
         self.kept, (self.some, self.row_of) = kept, fold(rows)
         self.rows = rows[self.some]
         self.low = np.full(len(self.some), LAST_ID)
@@ -169,9 +181,14 @@ class Chunk:
         for back in range(_BACK + 1):
             hit = ((own >> np.uint64(back)) & np.uint64(1)).astype(bool) | (beaten & (nearest <= back) & (back <= farthest))
             start[at[hit] - back] = 1
-        before = np.concatenate(([0], np.cumsum(start[: len(self.body)], dtype=np.int64)))
-        i = np.arange(len(self.body))
-        return before[i + 1] > before[np.maximum(0, i - LENGTH + 1)]
+        gone = np.zeros(len(self.body), dtype=bool)
+        for lo in range(0, len(self.body), SEGMENT):
+            hi = min(lo + SEGMENT, len(self.body))
+            back = max(0, lo - LENGTH + 1)
+            before = np.concatenate(([0], np.cumsum(start[back:hi], dtype=np.int64)))
+            i = np.arange(lo, hi)
+            gone[lo:hi] = before[i + 1 - back] > before[np.maximum(back, i - LENGTH + 1) - back]
+        return gone
 
 
 def fold(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,26 +281,54 @@ def beaten_windows(low: np.ndarray, rows: np.ndarray) -> np.ndarray:
     some, own = fold(rows)
     least = np.full(len(some), LAST_ID)
     np.minimum.at(least, own, low)
-    body = np.concatenate((rows[some].reshape(-1), np.zeros(8, dtype=np.uint8)))
     near, far = rows[some, _CONTEXT].astype(np.int64), rows[some, _CONTEXT + 1].astype(np.int64)
-    n = far - near + 1
-    context = np.repeat(np.arange(len(some)), n)
-    back = far[context] - (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-    order, group = deep_shallow(body, context * _ROW + _BACK - back)
-    best = np.full(len(order), LAST_ID)
-    np.minimum.at(best, group, least[context[order]])
-    smallest = np.empty(len(order), dtype=np.int64)
-    smallest[order] = best[group]
-    # back to every context that was sent
-    first = np.cumsum(n) - n
+    sent = np.argsort(own, kind="stable")  # the rows of each context
+    ends = np.searchsorted(own[sent], np.arange(len(some)), "right")
     bits = np.zeros(len(rows), dtype=np.uint64)
-    for k in range(int(n.max()) if len(n) else 0):
-        has = n[own] > k
-        w = first[own[has]] + k
-        bits[has] |= (smallest[w] < low[has]).astype(np.uint64) << back[w].astype(np.uint64)
+    for contexts, lo, hi in _slices(rows[some, _BACK : _BACK + GRAM], far - near + 1):
+        first_back, last_back = np.maximum(near[contexts], lo), np.minimum(far[contexts], hi)
+        n = np.maximum(last_back - first_back + 1, 0)
+        body = np.concatenate((rows[some[contexts]].reshape(-1), np.zeros(8, dtype=np.uint8)))
+        context = np.repeat(np.arange(len(contexts)), n)
+        first = np.cumsum(n) - n
+        back = last_back[context] - (np.arange(n.sum()) - first[context])
+        order, group = deep_shallow(body, context * _ROW + _BACK - back)
+        best = np.full(len(order), LAST_ID)
+        np.minimum.at(best, group, least[contexts[context[order]]])
+        smallest = np.empty(len(order), dtype=np.int64)
+        smallest[order] = best[group]
+        # back to every row that was sent
+        times = ends[contexts] - np.concatenate(([0], ends))[contexts]
+        mine = np.repeat(np.arange(len(contexts)), times)
+        row = sent[np.repeat(ends[contexts] - np.cumsum(times), times) + np.arange(times.sum())]
+        for k in range(int(n.max()) if len(n) else 0):
+            has = n[mine] > k
+            w = first[mine[has]] + k
+            bits[row[has]] |= (smallest[w] < low[row[has]]).astype(np.uint64) << back[w].astype(np.uint64)
     return bits
 
 
+def _slices(grams: np.ndarray, windows: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Contexts with a range of distances between anchor and window, so that equal windows are in one slice: their
+    anchors are equal, and so are the distances. A slice has about SLICE windows, or a distance of one anchor."""
+    if not len(grams):
+        return
+    key = np.ascontiguousarray(grams).view(np.uint64).reshape(-1, 2)
+    by = np.lexsort((key[:, 1], key[:, 0]))
+    new = np.concatenate(([True], (key[by[1:]] != key[by[:-1]]).any(axis=1)))
+    heads = np.flatnonzero(new)
+    total = np.concatenate(([0], np.cumsum(windows[by])))
+    size = total[np.append(heads[1:], len(by))] - total[heads]
+    at = 0
+    while at < len(heads):
+        end = at + max(1, int(np.searchsorted(np.cumsum(size[at:]), SLICE, "right")))
+        own = by[heads[at] : heads[end] if end < len(heads) else len(by)]
+        step = _BACK + 1 if size[at:end].sum() <= SLICE else max(1, SLICE // len(own))
+        for lo in range(0, _BACK + 1, step):
+            yield own, lo, min(lo + step - 1, _BACK)
+        at = end
+
+
 # ---------------------------------------------------------------- the steps
 
 
@@ -359,7 +404,7 @@ def remove_repeats(docs: DataFrame, emit: Callable = kept_and_spans, schema: str
     stages = Stages(docs.sparkSession, "suffixes")
     chunks = stages.write(pack_chunks(docs), "chunks")
     total = chunks.agg(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    parts = max(1, -(-total // PART_BYTES))
+    parts = max(MIN_PARTS, -(-total // PART_BYTES))
     names = [x.split()[0] for x in schema.replace("<start:bigint,end:bigint>", "").split(", ")]
 
     def ask(batches):

@@ -294,6 +294,7 @@ def test_random_pieces_equal_the_library():
 
 def test_removed_bytes_equal_brute_force(spark, docs, none, monkeypatch):
     monkeypatch.setattr(suffixes, "PART_BYTES", 1 << 12)
+    monkeypatch.setattr(suffixes, "MIN_PARTS", 3)
     rng = random.Random(3)
     passage = "".join(rng.choices("abcdef ", k=140))
     more = [(20 + i, "".join(rng.choices("ab", k=rng.randrange(0, 90))) + passage[rng.randrange(60) : rng.randrange(80, 140)] + "é" * rng.randrange(40) + "z" * rng.randrange(120)) for i in range(40)]
@@ -307,6 +308,58 @@ def test_removed_bytes_equal_brute_force(spark, docs, none, monkeypatch):
     assert suffixes.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("segment, slice_", [(1 << 20, 1 << 22), (256, 500), (97, 1)])
+def test_segments_and_slices_change_nothing(monkeypatch, segment, slice_):
+    """The steps of one part without Spark, against plain windows: also with texts and sorting cut into small pieces."""
+    monkeypatch.setattr(suffixes, "SEGMENT", segment)
+    monkeypatch.setattr(suffixes, "SLICE", slice_)
+    monkeypatch.setattr(suffixes, "PIECE", 7)
+    rng = random.Random(31)
+    passages = ["".join(rng.choices("abcdef ", k=200)) for _ in range(3)] + ["z" * 150, "xy" * 80]
+    rows = [(i, "".join(rng.choice(passages)[rng.randrange(60) : rng.randrange(70, 200)] + "".join(rng.choices("ab", k=rng.randrange(40))) for _ in range(rng.randrange(5)))) for i in rng.sample(range(90), 60)]
+    chunks = []
+    for k in range(0, 60, 13):
+        some = rows[k : k + 13]
+        raws = [t.encode() for _, t in some]
+        chunks.append(suffixes.Chunk([i for i, _ in some], [len(r) for r in raws], suffixes.zstandard.ZstdCompressor().compress(b"".join(raws)), 1))
+    keys = np.concatenate([c.keys for c in chunks])
+    repeated = np.unique(keys)[np.unique(keys, return_counts=True)[1] > 1]
+    for c in chunks:
+        c.follow({0: np.packbits(np.isin(c.keys[c.by_part], repeated)).tobytes()})
+    bits = np.split(suffixes.beaten_windows(np.concatenate([c.low[c.row_order] for c in chunks]), np.concatenate([c.rows[c.row_order] for c in chunks])), np.cumsum([len(c.rows) for c in chunks])[:-1])
+    got = []
+    for c, b in zip(chunks, bits, strict=True):
+        gone = c.removed({0: suffixes.zstandard.ZstdCompressor().compress(b.tobytes())})
+        ends = np.cumsum(c.lens)
+        got += [c.body[e - n : e][~gone[e - n : e]].tobytes() for n, e in zip(c.lens, ends, strict=True)]
+    assert got == [k for k, *_ in brute.kept_bytes(rows)]
+
+
+def test_a_long_repeated_text_stays_in_memory():
+    """30 MB of one text that repeats itself and another one: a chunk of its own, in another process."""
+    import subprocess
+    import sys
+
+    script = """
+import resource
+import numpy as np
+from sieveline.llm import suffixes
+rng = np.random.default_rng(0)
+passage = rng.integers(97, 123, 1 << 20, dtype=np.uint8).tobytes()
+raws = [passage, passage * 30]
+c = suffixes.Chunk([1, 2], [len(r) for r in raws], suffixes.zstandard.ZstdCompressor().compress(b"".join(raws)), 1)
+c.follow({0: np.packbits(np.ones(len(c.keys), dtype=bool)).tobytes()})
+bits = suffixes.beaten_windows(c.low[c.row_order], c.rows[c.row_order])
+gone = c.removed({0: suffixes.zstandard.ZstdCompressor().compress(bits.tobytes())})
+assert gone.sum() > 30 * (len(passage) - 50), gone.sum()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10)
+"""
+    root = str(__import__("pathlib").Path(__file__).parents[2])
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, cwd=root, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout) < 2000
+
+
 def test_deep_shallow_order():
     rng = random.Random(5)
     texts = [bytes(rng.choices(b"ab", k=rng.randrange(20))) + bytes(rng.choices(b"xy", k=1)) * 60 for _ in range(300)]
