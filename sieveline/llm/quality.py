@@ -1,12 +1,14 @@
 """Quality classifier (operator 8): a linear-chain conditional random field over a document's lines.
 
 Every line is good or bad. Its features are coarse bins of surface signals (letter cases, symbols, separators,
-repeated words, lengths) of the line itself and of the lines before and after it. Training lines carry their
-document's label. Forward-backward gives every line's marginal of being good; the document's quality is the mean of
-the marginals weighted by line length, put on a probability scale by a logistic fit on the training documents.
+repeated words, lengths) of the line itself and of the lines before and after it. Only documents are labelled, so the
+lines' labels are learnt in rounds: at first a line has its document's label; then lines of bad documents that look
+good by themselves are good (one line at least stays bad), so that the transitions see good lines beside bad ones.
+Forward-backward gives every line's marginal of being good; the document's quality is the mean of the marginals
+weighted by line length, put on a probability scale by a logistic fit on the training documents.
 
-The model is fitted on at most SAMPLE labelled documents outside the held-out fold; labels, lang, source and doc_id
-are no inputs of a score.
+The model is fitted on at most SAMPLE labelled documents outside the held-out fold, of at most SAMPLE_LINES lines
+together; their features, not their texts, come to the driver. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined cases: null counts as empty; an empty text is one empty line and gets a score; long texts are scored whole;
 equal texts have equal scores; without usable labels of both classes every score is 0.5; an empty table gives an
@@ -23,11 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sieveline.llm.common import pick, text_steps
+from sieveline.llm.common import Stages, pick, text_steps
 from sieveline.llm.samples import held_out, labelled_sample
 
 #: labelled documents that the model is fitted on, at most
 SAMPLE = 4000
+#: lines of these together, at most: documents that don't fit any more, in the order of a hash, are left out
+SAMPLE_LINES = 400_000
 #: documents of a lower score are rejected
 CUT = 0.3
 
@@ -148,17 +152,23 @@ class Model:
     slope: float
     shift: float
 
-    def quality(self, texts: list) -> np.ndarray:
-        """The length-weighted mean of the lines' marginals, by text."""
-        bins, lengths, counts = binned(texts)
+    def lines(self, bins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Every line's marginal of being good."""
         local = np.zeros((len(bins), 2))
         local[:, 1] = self.weights[features(bins, counts)].sum(axis=1)
-        good = Chains(counts).marginals(local, self.trans)
+        return Chains(counts).marginals(local, self.trans)
+
+    def qualities(self, bins: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The length-weighted mean of the lines' marginals and the number of bad lines, by document."""
+        good = self.lines(bins, counts)
         cut = np.cumsum(counts) - counts
-        return np.add.reduceat(good * lengths, cut) / np.add.reduceat(lengths, cut)
+        return np.add.reduceat(good * lengths, cut) / np.add.reduceat(lengths, cut), np.add.reduceat(good < 0.5, cut, dtype=np.int64)
+
+    def quality(self, texts: list) -> np.ndarray:
+        return self.qualities(*binned(texts))[0]
 
-    def score(self, texts: list) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * _logit(self.quality(texts)) + self.shift)))
+    def score(self, quality: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * _logit(quality) + self.shift)))
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -176,27 +186,45 @@ def _adam(gradient: Callable, x: np.ndarray, steps: int, rate: float) -> np.ndar
 
 
 def fit(texts: list, labels: np.ndarray, steps: int = 120) -> Model:
+    return fit_lines(*binned(texts), labels, steps) if len(texts) else NONE
+
+
+NONE = Model(np.zeros(WIDTH), np.zeros((2, 2)), 0.0, 0.0)
+
+
+def fit_lines(bins: np.ndarray, lengths: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = 120) -> Model:
     labels = np.asarray(labels)
     if len(set(labels.tolist())) < 2:
-        return Model(np.zeros(WIDTH), np.zeros((2, 2)), 0.0, 0.0)
-    bins, lengths, counts = binned(texts)
+        return NONE
     active, chains, n = features(bins, counts), Chains(counts), len(bins)
-    line_label = np.repeat(labels, counts)
-    seen = np.zeros((2, 2))
-    for label in (0, 1):
-        seen[label, label] = (counts[labels == label] - 1).sum()
-    held = np.bincount(active[line_label == 1].ravel(), minlength=WIDTH)
-
-    def gradient(x):
-        local = np.zeros((n, 2))
-        local[:, 1] = x[:WIDTH][active].sum(axis=1)
-        good, expected = chains.marginals(local, x[WIDTH:].reshape(2, 2), pairs=True)
-        g = np.bincount(active.ravel(), weights=np.repeat(good, active.shape[1]), minlength=WIDTH) - held
-        return np.concatenate((g, (expected - seen).ravel())) / n + 1e-4 * x
-
-    x = _adam(gradient, np.zeros(WIDTH + 4), steps, 0.1)
+    flat, own = active.ravel(), np.repeat(labels, counts)
+    first = np.zeros(n, dtype=bool)
+    first[np.cumsum(counts) - counts] = True
+
+    def trained(line_label: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Weights and transitions for lines of known labels."""
+        pairs = 2 * line_label[:-1][~first[1:]] + line_label[1:][~first[1:]]
+        seen = np.bincount(pairs, minlength=4)[:4]
+        held = np.bincount(active[line_label == 1].ravel(), minlength=WIDTH)
+
+        def gradient(x):
+            local = np.zeros((n, 2))
+            local[:, 1] = x[:WIDTH][active].sum(axis=1)
+            good, expected = chains.marginals(local, x[WIDTH:].reshape(2, 2), pairs=True)
+            g = np.bincount(flat, weights=np.repeat(good, active.shape[1]), minlength=WIDTH) - held
+            return np.concatenate((g, expected.ravel() - seen)) / n + 1e-4 * x
+
+        return _adam(gradient, start, steps, 0.1)
+
+    x = trained(own, np.zeros(WIDTH + 4))
+    # a line by itself, without its chain: how often lines of its bins stand in good documents, by naive odds
+    alone = bins.astype(np.int64)
+    good, bad = (np.bincount(alone[own == k].ravel(), minlength=OWN)[:OWN] + 1.0 for k in (1, 0))
+    odds = (np.log(good / good.sum()) - np.log(bad / bad.sum()))[alone].sum(axis=1)
+    worst = np.minimum.reduceat(odds, np.flatnonzero(first))
+    x = trained(np.where((own == 0) & (odds > 0) & (odds > np.repeat(worst, counts)), 1, own), x)
     model = Model(x[:WIDTH], x[WIDTH:].reshape(2, 2), 1.0, 0.0)
-    z = _logit(model.quality(texts))
+    z = _logit(model.qualities(bins, lengths, counts)[0])
 
     def logistic(ab):
         r = 1 / (1 + np.exp(-(ab[0] * z + ab[1]))) - labels
@@ -206,26 +234,62 @@ def fit(texts: list, labels: np.ndarray, steps: int = 120) -> Model:
     return model
 
 
-def fitted(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
-    rows = labelled_sample(docs, labels, "quality", most).collect()  # `most` documents
-    rows.sort(key=lambda r: (r.text, r.label))
-    return fit([r.text for r in rows], np.array([r.label for r in rows]))
+def fitted(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, most_lines: int = SAMPLE_LINES) -> Model:
+    def work(batches):
+        for batch in batches:
+            for d, h, text, label in zip(*(batch.column(k) for k in range(4)), strict=True):
+                bins, lengths, _ = binned([text.as_py()])
+                columns = [[d.as_py()], [h.as_py()], [label.as_py()], [len(bins)], [bins.astype(np.uint8).tobytes()], [lengths.astype(np.int64).tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["doc_id", "h", "label", "n", "bins", "lengths"])
+
+    stages = Stages(docs.sparkSession, "quality")
+    lines = stages.write(labelled_sample(docs, labels, "quality", most).mapInArrow(work, "doc_id long, h long, label int, n long, bins binary, lengths binary"), "lines")
+    held, chosen = 0, []
+    for r in sorted(lines.select("h", "doc_id", "n").collect()):  # `most` rows of three numbers
+        if held + r.n <= most_lines:
+            held += r.n
+            chosen.append(r.doc_id)
+    if not chosen:
+        return NONE
+    rows = sorted(lines.where(F.col("doc_id").isin(chosen)).collect(), key=lambda r: (r.h, r.doc_id))  # `most_lines` lines
+    bins = np.concatenate([np.frombuffer(r.bins, dtype=np.uint8).reshape(-1, len(EDGES)) for r in rows]).astype(np.int64)
+    return fit_lines(bins, np.concatenate([np.frombuffer(r.lengths, dtype=np.int64) for r in rows]), np.array([r.n for r in rows]), np.array([r.label for r in rows]))
+
+
+def _scored(model: Model, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score, number of lines, and number of bad lines of each text."""
+    out = [(np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    for step in text_steps(texts):
+        own = binned(step)
+        quality, bad = model.qualities(*own)
+        out.append((model.score(quality), own[2], bad))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def line_labels(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, line (from 0), p_good and good (1 from a half on) of every line of every row."""
 
+    def work(batches):
+        for batch in batches:
+            for d, text in zip(batch.column(0), batch.column(1), strict=True):
+                bins, _, counts = binned([text.as_py()])
+                p = model.lines(bins, counts)
+                yield pa.RecordBatch.from_arrays([pa.array([d.as_py()] * len(p), pa.int64()), pa.array(np.arange(len(p))), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "line", "p_good", "good"])
 
-def _scored(model: Model, texts: list) -> np.ndarray:
-    return np.concatenate([np.zeros(0), *(model.score(step) for step in text_steps(texts))])
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(work, "doc_id long, line long, p_good double, good int")
 
 
 def scores(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, cut: float = CUT) -> DataFrame:
-    """doc_id, held_out, score and predicted (1 from `cut` on) of every row."""
+    """doc_id, held_out, score, predicted (1 from `cut` on), n_lines and n_bad_lines of every row."""
     model = fitted(docs, labels, most)
 
     def work(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scored(model, batch.column(1).to_pylist()))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, _scored(model, batch.column(1).to_pylist()))], ["doc_id", "score", "n_lines", "n_bad_lines"])
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(work, "doc_id long, score double").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+    return rows.mapInArrow(work, "doc_id long, score double, n_lines long, n_bad_lines long").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"), "n_lines", "n_bad_lines")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, cut: float = CUT) -> DataFrame:
@@ -235,6 +299,6 @@ def accepted(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, cut: float
 
     def work(batches):
         for batch in batches:
-            yield batch.filter(pa.array(_scored(model, batch.column(text).to_pylist()) >= cut))
+            yield batch.filter(pa.array(_scored(model, batch.column(text).to_pylist())[0] >= cut))
 
     return docs.mapInArrow(work, docs.schema)

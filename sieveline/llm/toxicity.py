@@ -7,7 +7,8 @@ in clean ones). P(grade > k) = logistic(w.x - theta_k): one weight vector for al
 proximal step keeps the weights sparse, and only features that are more frequent in toxic documents than by chance
 are fitted, so that long clean texts gather no weight. The output is the expected severity, the sum of P(grade > k) over k.
 
-The model is fitted on at most SAMPLE labelled documents outside the held-out fold. Words of over LONGEST characters
+The model is fitted on at most SAMPLE labelled documents outside the held-out fold. Their features are counted where the
+texts are; the driver gets the at most FEATURES most telling ones, and which of them each document has. Words of over LONGEST characters
 count by their beginning only.
 
 Defined cases: null counts as empty; an empty text has the severity of no features; texts are read whole; equal texts
@@ -18,6 +19,7 @@ other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -25,11 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sieveline.llm.common import pick
+from sieveline.llm.common import Stages, pick
 from sieveline.llm.samples import labelled_sample
 
 #: labelled documents that the model is fitted on, at most
 SAMPLE = 8000
+#: features that are fitted, at most
+FEATURES = 50_000
 GRADES = 4
 PREFIX = 5
 LONGEST = 64
@@ -89,49 +93,37 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-class Bag:
-    """The features of the sample's documents as numbers; only each distinct feature's text is held."""
-
-    def __init__(self, rows: Iterable[tuple[str, int]]):
-        index: dict[str, int] = {}
-        docs, toxic = [], []
-        for text, label in rows:
-            docs.append(np.array([index.setdefault(f, len(index)) for f in {f for w in word_set(text) for f in word_features(w)}], dtype=np.int32))
-            toxic.append(label)
-        self.names, self.toxic = list(index), np.array(toxic, dtype=np.int64)
-        self.row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-        self.feature = np.concatenate([np.zeros(0, dtype=np.int32), *docs])
-        self.every = np.bincount(self.feature, minlength=len(index))
-        self.inside = np.bincount(self.feature[self.toxic[self.row] == 1], minlength=len(index))
-
-    def grades(self, n: int = GRADES) -> np.ndarray:
-        """Grade 0 for clean documents, 1 to n - 1 for toxic ones by their number of distinct marked words."""
-        is_word = np.array([not name.endswith("-") for name in self.names])
-        marked = is_word & (self.inside >= MARKED) & (self.every - self.inside <= self.inside / 20)
-        count = np.bincount(self.row, weights=marked[self.feature], minlength=len(self.toxic))
-        cuts = np.quantile(count[self.toxic == 1], [k / (n - 1) for k in range(1, n - 1)])
-        return np.where(self.toxic == 1, 1 + (count[:, None] > cuts).sum(axis=1), 0)
-
-    def telling(self) -> list[int]:
-        """Features that occur in toxic documents TELLING standard deviations more often than by chance, by name."""
-        share = self.toxic.mean()
-        more = self.inside - self.every * share > TELLING * np.sqrt(self.every * share * (1 - share))
-        return sorted(np.flatnonzero((self.every >= COMMON) & more).tolist(), key=self.names.__getitem__)
-
-
-def fit(rows: Iterable[tuple[str, int]], penalty: float = 1e-4, steps: int = 400) -> Model:
-    """From texts and whether they are toxic."""
-    bag = Bag(rows)
-    toxic = bag.toxic
+def is_marked(is_word, every, inside):
+    """Whether a feature is a word of toxic documents: numbers of arrays or columns."""
+    return is_word & (inside >= MARKED) & (every - inside <= inside / 20)
+
+
+def grades(marked: np.ndarray, toxic: np.ndarray, n: int = GRADES) -> np.ndarray:
+    """Grade 0 for clean documents, 1 to n - 1 for toxic ones by their number of distinct marked words."""
+    cuts = np.quantile(marked[toxic == 1], [k / (n - 1) for k in range(1, n - 1)])
+    return np.where(toxic == 1, 1 + (marked[:, None] > cuts).sum(axis=1), 0)
+
+
+def fit(rows: Iterable[tuple[str, int]]) -> Model:
+    """From texts and whether they are toxic; for small samples: `fitted` does the same by Spark."""
+    rows = list(rows)
+    toxic = np.array([label for _, label in rows])
+    sets = [{f for w in word_set(text) for f in word_features(w)} for text, _ in rows]
+    every, inside = Counter(f for s in sets for f in s), Counter(f for s, t in zip(sets, toxic, strict=True) if t for f in s)
+    share = toxic.mean() if len(toxic) else 0
+    names = sorted(f for f, n in every.items() if n >= COMMON and inside[f] - n * share > TELLING * np.sqrt(n * share * (1 - share)))
+    words = {f for f, n in every.items() if is_marked(not f.endswith("-"), n, inside[f])}
+    place = {f: k for k, f in enumerate(names)}
+    pairs = [(i, place[f]) for i, s in enumerate(sets) for f in s if f in place]
+    return fit_features(names, np.array(pairs, dtype=np.int64).reshape(-1, 2), toxic, np.array([len(s & words) for s in sets], dtype=np.int64))
+
+
+def fit_features(names: list[str], pairs: np.ndarray, toxic: np.ndarray, marked: np.ndarray, penalty: float = 1e-4, steps: int = 400) -> Model:
+    """From the features' names, the pairs (document, feature), and each document's label and number of marked words."""
     if len(set(toxic.tolist())) < 2:
         return Model({}, np.full(GRADES - 1, 40.0))
-    grade, chosen = bag.grades(), bag.telling()
-    names, place = [bag.names[i] for i in chosen], np.full(len(bag.names), -1)
-    place[chosen] = np.arange(len(chosen))
-    kept = place[bag.feature] >= 0
-    row, col = bag.row[kept], place[bag.feature[kept]]
-    by = np.lexsort((col, row))
-    row, col = row[by], col[by]
+    grade = grades(marked, toxic)
+    row, col = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].T
     n, at = len(toxic), np.arange(len(toxic))
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / n
 
@@ -166,9 +158,35 @@ def fit(rows: Iterable[tuple[str, int]], penalty: float = 1e-4, steps: int = 400
     return Model({f: float(x) for f, x in zip(names, w, strict=True) if x}, theta)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
-    rows = labelled_sample(docs, labels, "toxic", most).orderBy("text", "label")  # `most` documents, read one by one
-    return fit((r.text, r.label) for r in rows.toLocalIterator())
+def fitted(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, most_features: int = FEATURES) -> Model:
+    def work(batches):
+        for batch in batches:
+            for d, text, label in zip(batch.column(0), batch.column(2), batch.column(3), strict=True):
+                own = ["", *sorted({f for w in word_set(text.as_py()) for f in word_features(w)})]  # a text without words has a row, too
+                yield pa.RecordBatch.from_arrays([pa.array([d.as_py()] * len(own), pa.int64()), pa.array([label.as_py()] * len(own), pa.int32()), pa.array(own, pa.string())], ["doc_id", "label", "f"])
+
+    stages = Stages(docs.sparkSession, "toxicity")
+    sample = labelled_sample(docs, labels, "toxic", most)
+    held = stages.write(sample.mapInArrow(work, "doc_id long, label int, f string"), "features")
+    rows = sorted(held.groupBy("doc_id").agg(F.max("label").alias("label")).collect())  # `most` rows of two numbers
+    toxic = np.array([r.label for r in rows], dtype=np.int64)
+    if len(set(toxic.tolist())) < 2:
+        return fit_features([], np.zeros((0, 2), dtype=np.int64), toxic, toxic)
+    share = float(toxic.mean())
+    stats = held.where("f <> ''").groupBy("f").agg(F.count("*").alias("every"), F.sum("label").alias("inside"))
+    more = (F.col("inside") - F.col("every") * share) / F.sqrt(F.col("every") * (share * (1 - share)))
+    is_word = is_marked(~F.col("f").endswith("-"), F.col("every"), F.col("inside"))
+    stats = stats.select("f", (F.col("every") >= COMMON).alias("common"), more.alias("more"), is_word.alias("marked"))
+    stats = stages.write(stats.where((F.col("common") & (F.col("more") > TELLING)) | F.col("marked")), "telling")
+    names = sorted(r.f for r in stats.where("common and more > %d" % TELLING).orderBy(F.desc("more"), "f").limit(most_features).collect())
+    place, doc = {f: k for k, f in enumerate(names)}, {r.doc_id: k for k, r in enumerate(rows)}
+    # the features of a document that are fitted: a small share of its words
+    own = held.join(stats, "f").groupBy("doc_id").agg(F.count_if("marked").alias("marked"), F.collect_list(F.when(F.col("common") & (F.col("more") > TELLING), F.col("f"))).alias("fs")).collect()
+    marked, pairs = np.zeros(len(rows), dtype=np.int64), []
+    for r in own:
+        marked[doc[r.doc_id]] = r.marked
+        pairs += [(doc[r.doc_id], place[f]) for f in r.fs if f in place]
+    return fit_features(names, np.array(pairs, dtype=np.int64).reshape(-1, 2), toxic, marked)
 
 
 def severities(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:

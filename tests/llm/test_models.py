@@ -1,9 +1,11 @@
 """Learnt operators: held-out accuracy, and the probabilities against enumeration. The pipeline."""
 
+from collections import Counter
 from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sieveline.llm import quality, toxicity
@@ -26,14 +28,41 @@ def test_quality_of_held_out_documents(spark):
 
 
 def test_toxicity_of_held_out_documents(spark):
-    from pyspark.sql import functions as F
-
     from sieveline.llm.samples import held_out
 
     # words of four languages: the smaller tables have a handful of toxic documents of each
     rows = QUERIES["op1_toxicity"](spark, LARGER).join(table(spark, LARGER, "labels").select("doc_id", F.col("toxic").alias("label")), "doc_id").where(held_out(F.col("doc_id"))).toPandas()
     assert area(rows["severity"].to_numpy(), rows["label"].to_numpy()) > 0.95
     assert (rows["toxic"] == rows["label"]).mean() > 0.95 and rows["severity"].between(0, toxicity.GRADES - 1).all()
+    # the order of the grades, on documents that nothing was fitted on: words that only toxic documents of this fold hold
+    texts = {r["doc_id"]: set(r["text"].lower().split()) for r in table(spark, LARGER, "documents").where(held_out(F.col("doc_id"))).join(table(spark, LARGER, "labels").select("doc_id"), "doc_id").collect()}
+    toxic_of = dict(zip(rows["doc_id"], rows["label"], strict=True))
+    inside, outside = Counter(w for i, t in texts.items() if toxic_of[i] for w in t), {w for i, t in texts.items() if not toxic_of[i] for w in t}
+    bad = {w for w, n in inside.items() if n >= 3 and w not in outside}
+    marked = rows[rows["label"] == 1].assign(n=lambda r: [len(texts[i] & bad) for i in r["doc_id"]])
+    print("rank correlation of severity and marked words, held out:", marked["severity"].corr(marked["n"], method="pearson"))
+    by_grade = marked.groupby("grade")["n"].mean()
+    assert marked["severity"].rank().corr(marked["n"].rank()) > 0.5 and by_grade.is_monotonic_increasing
+
+
+def test_spark_and_plain_fits_agree(spark):
+    """The model that Spark's counts give is the one of the plain version over the same sample."""
+    from sieveline.llm.samples import labelled_sample
+
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    rows = sorted(labelled_sample(docs, labels, "toxic", 300).collect(), key=lambda r: r["doc_id"])
+    plain, own = toxicity.fit((r["text"], r["label"]) for r in rows), toxicity.fitted(docs, labels, 300)
+    assert plain.weights == own.weights and plain.weights and (plain.theta == own.theta).all()
+
+
+def test_the_sample_follows_from_the_rows(spark):
+    """Of several texts with one doc_id the same one is chosen, however the rows are dealt."""
+    from sieveline.llm.samples import labelled_sample
+
+    rows = [(i % 40, f"text {i} " * (1 + i % 7)) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    got = [sorted(map(tuple, labelled_sample(spark.createDataFrame(rows, "doc_id long, text string").repartition(n, F.rand(n)), labels, "quality", 30).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and len(got[0]) <= 30
 
 
 def test_marginals_equal_enumeration():
@@ -84,6 +113,30 @@ def test_odd_rows_get_a_score(spark, docs, none, operator):
         assert quality.accepted(docs, labels).schema == docs.schema
 
 
+def test_bad_lines_of_a_mixed_document_are_told(spark):
+    """Documents are labelled, lines are not: good lines of bad documents come out as good, their neighbours as bad."""
+    good = [f"An ordinary sentence about gears and shafts, number {'one two three four five six seven'.split()[i % 7]}." for i in range(7)]
+    rng = np.random.default_rng(3)
+    texts, labels, truth = [], [], []
+    for k in range(300):
+        bad = k % 2
+        lines = [good[i] for i in rng.integers(0, 7, 12)]
+        kinds = np.zeros(12, dtype=int)
+        if bad:
+            at = int(rng.integers(0, 8))
+            kinds[at : at + 4] = 1
+            lines = ["## $$ @@ || ## %% ^^" if x else line for line, x in zip(lines, kinds, strict=True)]
+        texts.append("\n".join(lines))
+        labels.append(1 - bad)
+        truth.append(1 - kinds)
+    model = quality.fit(texts[:200], np.array(labels[:200]))
+    rows = quality.line_labels(spark.createDataFrame(list(enumerate(texts[200:])), "doc_id long, text string"), model).orderBy("doc_id", "line").collect()
+    got = np.array([r["good"] for r in rows]).reshape(100, 12)
+    assert (got == np.array(truth[200:])).mean() > 0.97
+    score = model.score(model.quality(texts[200:]))
+    assert ((score >= 0.5) == np.array(labels[200:])).all()
+
+
 def test_long_document_is_scored_whole():
     good, bad = "An ordinary sentence about gears and shafts.", "AB## CD## AB## CD## AB## CD##"
     model = quality.fit(["\n".join([good] * 5), "\n".join([bad] * 5)] * 20, np.array([1, 0] * 20))
