@@ -404,11 +404,16 @@ def test_sketches_estimate_and_merge(spark):
 # ---------------------------------------------------------------- 2 and 5
 
 
-def test_windows_equal_brute_force(spark, docs, none):
+@pytest.mark.parametrize("block_bytes", [None, 150], ids=["one block", "many blocks"])
+def test_windows_equal_brute_force(spark, docs, none, monkeypatch, block_bytes):
     rng = random.Random(7)
     words = [f"w{i}" for i in range(400)]
     items = [" ".join(rng.choices(words, k=n)) for n in (8, 13, 13, 21, 40, 40, 3)]
-    texts = []
+    if block_bytes:
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+        assert len(list(decontaminate.blocks(spark.createDataFrame(list(enumerate(items)), "item_id long, text string")))) > 2
+    # documents of fewer words than an item
+    texts = [" ".join(items[4].split()[:k]) for k in (39, 37, 34, 20)] + [" ".join(items[3].split()[k:]) for k in (1, 2, 5)] + ["w1", ""]
     for k in range(60):
         own = items[k % len(items)].split()
         for _ in range(k // 20):
@@ -423,17 +428,32 @@ def test_windows_equal_brute_force(spark, docs, none):
         for k, item in [*enumerate(items), (52, items[0])]:
             target = decontaminate.shingles(item.split())
             n = len(item.split())
-            best = max((decontaminate.similarity(decontaminate.shingles(own[a : a + n]), target) for a in range(len(own) - n + 1)), default=0)
+            best = max(decontaminate.similarity(decontaminate.shingles(own[a : a + n]), target) for a in range(max(1, len(own) - n + 1)))
             if best >= decontaminate.SIMILAR:
                 want[(i, k)] = round(best, 9)
     assert got == want and any(v < 1 for v in want.values())
     left = decontaminate.clean(df, bench)
-    assert {r["doc_id"] for r in left.collect()} == {i for i, _ in ROWS} | set(range(100, 160)) - {i for i, _ in want}
+    assert {r["doc_id"] for r in left.collect()} == {i for i, _ in ROWS} | set(range(100, 100 + len(texts))) - {i for i, _ in want}
     assert decontaminate.matches(none, bench).count() == 0 and decontaminate.matches(docs, bench.limit(0)).count() == 0
 
 
+def test_radius_finds_edited_windows():
+    """Recall of the fingerprints alone: edited pairs of similarity 0.8 or more within the radius."""
+    rng = random.Random(14)
+    words, near, n = [f"w{i}" for i in range(3000)], 0, 0
+    for _ in range(3000):
+        own = rng.choices(words, k=rng.randrange(13, 60))
+        other = own.copy()
+        for _ in range(rng.randrange(1, 2 + len(own) // 15)):
+            other[rng.choice((0, -1, rng.randrange(len(other))))] = "new"
+        if decontaminate.similarity(decontaminate.shingles(own), decontaminate.shingles(other)) >= decontaminate.SIMILAR:
+            a, b = (decontaminate.window_fingerprints(h, np.zeros(1, dtype=np.int64), len(h))[0] for h in (decontaminate.shingle_hashes(" ".join(x)) for x in (own, other)))
+            n, near = n + 1, near + (int(a ^ b).bit_count() <= decontaminate.RADIUS)
+    assert n > 1000 and near >= 0.998 * n
+
+
 def test_match_offsets(spark):
-    text = "Before. The Item, of seven words: is here! after"
+    text = "İ Before. The Item, of seven words: is here! after"
     bench = spark.createDataFrame([(1, "the item of seven words is here")], "item_id long, text string")
     r = decontaminate.matches(spark.createDataFrame([(1, text)], "doc_id long, text string"), bench).first()
     assert text[r["start"] : r["end"]] == "The Item, of seven words: is here"
