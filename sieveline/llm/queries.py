@@ -101,7 +101,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sketches.compared(table(spark, sf_dir, "documents"))
+    return op9_rows(table(spark, sf_dir, "documents"))
+
+
+def op9_rows(docs: DataFrame) -> DataFrame:
+    rows = sketches.compared(docs)
     own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
     return rows.select(
         "doc_id",

@@ -53,7 +53,7 @@ HOT_KEYS, HOT_ROWS = 50_000, 1000
 @dataclass(frozen=True)
 class Rule:
     """What links two texts: words of a shingle, the budget of differing bits, whether a shingle counts once however
-    often a text repeats it, and the draws and shingles of a draw if blocks are dealt by draws."""
+    often a text repeats it (as it must for draws), and the draws and shingles of a draw if blocks are dealt by draws."""
 
     words: int = 4
     budget: int = 4
@@ -114,19 +114,20 @@ def draw_keys(h: np.ndarray, rule: Rule) -> np.ndarray:
 
 
 def codes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, h (a hash of the text), c (the fingerprint, as a signed long), w and s (size and hash of the set of
-    shingles) and d (the keys of the draws) of every row."""
+    """doc_id, h (a hash of the text), c (the fingerprint, as a signed long) of every row; and if shingles count once,
+    w and s (size and hash of their set) and d (the keys of the draws)."""
 
     def work(batches):
         for batch in batches:
             prints, sets, keys = [], [], [np.zeros(0, dtype=np.uint64)]
             for t in batch.column(1):
                 h = shingle_hashes(t.as_py(), rule.words)
-                one = np.unique(h)
-                own = one if rule.once else h
-                prints.append(majority(own) if len(own) else 0)
-                sets.append((len(one), xxhash.xxh64_intdigest(one.tobytes(), SEED)))
-                keys.append(draw_keys(one, rule))
+                if rule.once:
+                    h = np.unique(h)
+                    sets.append((len(h), xxhash.xxh64_intdigest(h.tobytes(), SEED)))
+                    keys.append(draw_keys(h, rule))
+                prints.append(majority(h) if len(h) else 0)
+            sets = sets or [(0, 0)] * len(prints)
             sets = np.array(sets, dtype=np.uint64).view(np.int64).reshape(-1, 2)
             d = pa.ListArray.from_arrays(np.arange(len(prints) + 1, dtype=np.int32) * rule.draws, pa.array(np.concatenate(keys).view(np.int64)))
             c = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+import xxhash
+
 BASE = (
     ("assign", re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 1, 8),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 16),
@@ -66,3 +68,21 @@ def linked_spans(text, scope=256):
     kept = [w for w in weak if (w[1] == "ident" or near(w, ident)) and (w[1] == "secret" or near(w, secret))]
     order = ("assign", "access", "hex", "ident", "secret", "endpoint")
     return sorted(((s, order.index(k), e) for s, k, e in base + kept))
+
+
+def sketch(text, words=5, fraction=0.25):
+    """Sorted shingle hashes below the fraction; a shingle's hash is folded from its words' hashes."""
+    own = [xxhash.xxh64_digest(w.encode(), 42)[::-1] for w in re.split("[\\x09-\\x0D ]+", (text or "").lower()) if w]
+    out = set()
+    for i in range(len(own) - words + 1) if len(own) >= words else range(bool(own)):
+        h = 42
+        for w in own[i : i + words]:
+            h = xxhash.xxh64_intdigest(w, h)
+        if h < int(fraction * 2**64):
+            out.add(h)
+    return sorted(out)
+
+
+def likeness(a, b, equal):
+    a, b = set(a), set(b)
+    return len(a & b) / len(a | b) if a | b else float(equal)

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import brute
@@ -96,8 +97,6 @@ def test_components_equal_brute_force(spark, docs, none, limit):
 
 
 def test_fingerprint_is_the_contract():
-    import xxhash
-
     text = "The  quick\tBROWN fox É jumps"
     words = ["the", "quick", "brown", "fox", "É", "jumps"]
     hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 4]).encode(), 42) for i in range(3)]
@@ -374,19 +373,34 @@ def test_deep_shallow_order():
 # ---------------------------------------------------------------- 9
 
 
-def test_edited_texts_and_likeness(spark, docs, none):
-    rows = sorted(ROWS, key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), r[1] or ""))
-    want = []
-    for (i, t), (_, following) in zip(rows, rows[1:] + rows[:1], strict=True):
-        t, following = t or "", following or ""
-        half = len(t) // 2
-        want.append((repr(i), hashlib.sha256((t[: len(t) - half] + following[:half]).encode()).hexdigest()))
-    got = sketches.compared(docs).select("doc_id", F.sha2("edited", 256).alias("e"), "sketch", "edited_sketch", sketches.jaccard(F.col("sketch"), F.col("edited_sketch"), F.col("text") == F.col("edited")).alias("j")).collect()
-    assert sorted((repr(r["doc_id"]), r["e"]) for r in got) == sorted(want)
-    assert all(0 <= r["j"] <= 1 for r in got)
-    assert sketches.compared(none).count() == 0
-    single = spark.createDataFrame([(1, "abcd")], "doc_id long, text string")
-    assert sketches.compared(single).first()["edited"] == "abab"
+@pytest.mark.parametrize("partitions", ["1", "4", "64"])
+def test_fingerprints_equal_brute_force(spark, docs, none, partitions):
+    """The whole query: order, edited texts, sketches and likeness, recomputed; half of the rows share two doc_ids."""
+    from sieveline.llm.queries import op9_rows
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rng = random.Random(17)
+        words = [f"w{i}" for i in range(60)]
+        more = [(rng.choice((None, 50, 1000 + i)), " ".join(rng.choices(words, k=rng.randrange(0, 40)))) for i in range(150)]
+        rows = [(i, t or "") for i, t in [*ROWS, *more]]
+        signed = lambda t: int.from_bytes(xxhash.xxh64_digest(t.encode(), 42), "big", signed=True)
+        rows.sort(key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), signed(r[1]), r[1]))
+        want = []
+        for (i, t), (_, following) in zip(rows, rows[1:] + rows[:1], strict=True):
+            half = len(t) // 2
+            edited = t[: len(t) - half] + following[:half]
+            own, other, after = (brute.sketch(x) for x in (t, edited, following))
+            text = lambda hashes: "".join(f"{h:016x}" for h in hashes)
+            want.append((repr(i), len(t), hashlib.sha256(edited.encode()).hexdigest(), text(own), text(other), round(brute.likeness(own, other, t == edited), 12), round(brute.likeness(own, after, t == following), 12)))
+        df = pick(docs, "doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+        got = [(repr(r["doc_id"]), r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 12), round(r["near_next"], 12)) for r in op9_rows(df).collect()]
+        assert sorted(got) == sorted(want)
+        assert sketches.compared(none).count() == 0
+        assert sketches.compared(spark.createDataFrame([(1, "abcd")], "doc_id long, text string")).first()["edited"] == "abab"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def test_sketches_estimate_and_merge(spark):
