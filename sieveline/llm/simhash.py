@@ -391,7 +391,7 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
             df = df.union(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
         else:
             df = df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = stages.write(df.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), "low")
+        low = df.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))  # one exchange, used again
         joined = hot_join(df, low, ["a"], "n", total)
         if large:
             out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
