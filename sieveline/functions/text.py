@@ -12,7 +12,7 @@ CLASSES = {
     "replacement_char_count": r"\x{FFFD}",
     "private_use_char_count": r"[\x{E000}-\x{F8FF}\x{F0000}-\x{FFFFD}\x{100000}-\x{10FFFD}]",
     "control_char_count": r"[\p{Cc}&&[^\t\n\r]]",
-    "printable_char_count": r"[^\p{C}\p{Z}]|\x20",
+    "printable_char_count": r"[[^\p{C}\p{Z}]\x20]",
     "ascii_letter_count": r"[A-Za-z]",
     "cjk_char_count": r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]",
     "digit_count": r"\p{Nd}",
@@ -120,30 +120,38 @@ def safe_ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def quality_signals(text: Column) -> dict[str, Column]:
-    """The sixteen Unicode signals of a text, by name; all null for a null text, all rates 0 for an empty one."""
-    total = F.length(text)
-    counts = {name: F.regexp_count(text, F.lit(pattern)) for name, pattern in CLASSES.items()}
-    suspicious = sum((counts[n] for n in SUSPICIOUS[1:]), counts[SUSPICIOUS[0]])
-    rate = lambda c: F.when(text.isNotNull(), safe_ratio(c, total))
-    return {
-        "total_chars": total,
-        "replacement_char_count": counts["replacement_char_count"],
-        "replacement_char_rate": rate(counts["replacement_char_count"]),
-        "private_use_char_count": counts["private_use_char_count"],
-        "private_use_char_rate": rate(counts["private_use_char_count"]),
-        "control_char_count": counts["control_char_count"],
-        "control_char_rate": rate(counts["control_char_count"]),
-        "printable_char_count": counts["printable_char_count"],
-        "printable_char_ratio": rate(counts["printable_char_count"]),
-        "ascii_letter_count": counts["ascii_letter_count"],
-        "cjk_char_count": counts["cjk_char_count"],
-        "digit_count": counts["digit_count"],
-        "whitespace_count": counts["whitespace_count"],
-        "whitespace_ratio": rate(counts["whitespace_count"]),
-        "suspicious_char_count": suspicious,
-        "suspicious_char_rate": rate(suspicious),
-    }
+#: the sixteen signals of a text, in order
+SIGNAL_NAMES = (
+    "total_chars", "replacement_char_count", "replacement_char_rate", "private_use_char_count", "private_use_char_rate", "control_char_count", "control_char_rate",
+    "printable_char_count", "printable_char_ratio", "ascii_letter_count", "cjk_char_count", "digit_count", "whitespace_count", "whitespace_ratio", "suspicious_char_count", "suspicious_char_rate",
+)
+
+
+def bound(value: Column, use) -> Column:
+    """use(value), with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def class_count(text: Column, pattern: str) -> Column:
+    """Characters of a class: what is missing without its runs; no list of matches is made, and no group repeated."""
+    return F.length(text) - F.length(F.regexp_replace(text, F.lit(f"{pattern}++"), F.lit("")))
+
+
+def quality_signals(text: Column) -> Column:
+    """A struct of the sixteen Unicode signals of a text: all null for a null text, all rates 0 for an empty one.
+
+    Each class is counted once, and the rates are taken from the counts.
+    """
+    counts = F.struct(F.length(text).alias("total"), *(class_count(text, pattern).alias(name) for name, pattern in CLASSES.items()))
+
+    def signals(c: Column) -> Column:
+        suspicious = sum((c[n] for n in SUSPICIOUS[1:]), c[SUSPICIOUS[0]])
+        rate = lambda n: F.when(c["total"].isNotNull(), safe_ratio(n, c["total"]))
+        named = {n: c[n] for n in CLASSES} | {"total_chars": c["total"], "suspicious_char_count": suspicious, "suspicious_char_rate": rate(suspicious), "printable_char_ratio": rate(c["printable_char_count"]), "whitespace_ratio": rate(c["whitespace_count"])}
+        named |= {f"{n.removesuffix('_count')}_rate": rate(c[n]) for n in SUSPICIOUS}
+        return F.struct(*(named[n].alias(n) for n in SIGNAL_NAMES))
+
+    return bound(counts, signals)
 
 
 def safe_relative_path(path: Column) -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sieveline.functions import text as T
+from sieveline.operators import ranking as R
 
 KEY = ["source_root_id", "relative_path"]
 TEXT_STATUSES = ("text_present", "text_absent", "mixed_or_uncertain", "check_failed")
@@ -69,22 +70,19 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def distribution(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
     """count, min, median, p90, p95, p99 and max with linear interpolation; nulls are left out."""
-    at = lambda p: F.round(F.percentile(column, p), digits)
-    return df.agg(F.count(column).alias("count"), F.min(column).alias("min"), at(0.5).alias("median"), at(0.9).alias("p90"), at(0.95).alias("p95"), at(0.99).alias("p99"), F.max(column).alias("max"))
+    place = lambda p: (F.col("total") - 1) * p
+    names = {"median": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+    ends = [e for n, p in names.items() for e in (R.at_place(F.floor(place(p))).alias(f"{n}_low"), R.at_place(F.ceil(place(p))).alias(f"{n}_high"))]
+    found = R.value_ranks(df, column).agg(F.coalesce(F.max("total"), F.lit(0)).alias("total"), F.min("v").alias("min"), F.max("v").alias("max"), *ends)
+    between = lambda n, p: F.round(F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * (place(p) - F.floor(place(p))), digits)
+    return found.select(F.col("total").alias("count"), "min", *(between(n, p).alias(n) for n, p in names.items()), "max")
 
 
 def nearest_rank(df: DataFrame, column: str, group: list[str] | None = None) -> DataFrame:
-    """min, p10, median, p90 and max as the values at place round((n - 1) p), halves to even.
-
-    Equal values are counted before they are ranked, so the ranking sees distinct values only.
-    """
-    group = group or []
-    counts = df.where(F.col(column).isNotNull()).groupBy(*group, F.col(column).alias("v")).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(*group)
-    ends = counts.withColumn("upto", F.sum("c").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("c").over(w))
-    place = lambda p: F.bround((F.col("total") - 1) * p).cast("long")
-    at = lambda p: F.min(F.when(F.col("upto") > place(p), F.col("v")))
-    return ends.groupBy(*group).agg(F.max("total").alias("count"), F.min("v").alias("min"), at(0.1).alias("p10"), at(0.5).alias("median"), at(0.9).alias("p90"), F.max("v").alias("max"))
+    """min, p10, median, p90 and max as the values at place round((n - 1) p), halves to even."""
+    at = lambda p: R.at_place(F.bround((F.col("total") - 1) * p).cast("long"))
+    ends = R.value_ranks(df, column, group)
+    return ends.groupBy(*(group or [])).agg(F.max("total").alias("count"), F.min("v").alias("min"), at(0.1).alias("p10"), at(0.5).alias("median"), at(0.9).alias("p90"), F.max("v").alias("max"))
 
 
 def inventory_stats(files: DataFrame, wall_seconds: float) -> DataFrame:

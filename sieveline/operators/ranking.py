@@ -1,14 +1,80 @@
-"""Deterministic ranking, quotas and evenly spaced selection within groups."""
+"""Deterministic ranking, quotas and evenly spaced selection within groups, and ranked values.
+
+Nothing here sorts a group that may hold most rows in one task: such a group is range-partitioned by its order, ranked
+within the ranges, and the ranges' sizes are added up.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sieveline.sources.staging import Stages
+
+#: rows of a group that one task may sort
+GROUP_ROWS = 1_000_000
 
-def ranked(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """With idx (from 0) and n (rows of the group)."""
+
+def ranked(df: DataFrame, group: list[str], order: list[str], most: int | None = None) -> DataFrame:
+    """With idx (from 0) and n (rows of the group); a group of more than `most` rows is ranked in ranges."""
+    most = GROUP_ROWS if most is None else most
+    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
     w = Window.partitionBy(*group)
-    return df.withColumn("idx", F.row_number().over(w.orderBy(*order)) - 1).withColumn("n", F.count("*").over(w))
+    if largest <= most:
+        return df.withColumn("idx", F.row_number().over(w.orderBy(*order)) - 1).withColumn("n", F.count("*").over(w))
+    return ranked_by_range(df, group, order)
+
+
+def ranked_by_range(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """`ranked` without a task for each group: rows are written in ranges of (group, order), numbered there, and moved
+    by the rows of the group in earlier ranges."""
+    stages = Stages(df.sparkSession, "ranked")
+    ranges = df.repartitionByRange(*(F.col(c).asc_nulls_first() for c in (*group, *order))).withColumn("_range", F.spark_partition_id())
+    ranges = stages.write(ranges, "ranges")  # the bounds come from a sample: they are drawn once
+    sizes = ranges.groupBy(*group, "_range").agg(F.count("*").alias("_rows"))
+    w = Window.partitionBy(*group)  # ranges of a group: not more than partitions
+    sizes = sizes.withColumn("_before", F.sum("_rows").over(w.orderBy("_range")) - F.col("_rows")).withColumn("n", F.sum("_rows").over(w))
+    named = [F.col(c).alias(f"_g{k}") for k, c in enumerate(group)]
+    sizes = sizes.select(*named, F.col("_range").alias("_of"), "_before", "n")
+    same = F.col("_range") == F.col("_of")
+    for k, c in enumerate(group):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{k}"))
+    own = F.row_number().over(Window.partitionBy(*group, "_range").orderBy(*order)) - 1
+    out = ranges.withColumn("_own", own).join(sizes, same)
+    return out.select(*df.columns, (F.col("_before") + F.col("_own")).cast("int").alias("idx"), "n")
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """With the place (from 0) of each row in the order of all rows, by ranges as above."""
+    stages = Stages(df.sparkSession, "numbered")
+    at = F.monotonically_increasing_id()  # the range in the upper bits, the place in it in the lower 33
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at)
+    rows = stages.write(rows, "ranges")
+    sizes = rows.groupBy(F.shiftright("_at", 33).alias("_range")).agg(F.count("*").alias("_rows"))
+    before = sizes.select("_range", (F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")).alias("_before"))
+    out = rows.withColumn("_range", F.shiftright("_at", 33)).join(F.broadcast(before), "_range")  # a row a partition
+    return out.select(*df.columns, (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
+
+
+def value_ranks(df: DataFrame, column: str, group: list[str] | None = None) -> DataFrame:
+    """v, upto and total by group: of the distinct values of a number, how many rows have one up to it, and the rows.
+
+    Equal values are counted first. The values are then dealt into cells that keep their order (by their logarithm),
+    the cells' sizes are added up, and values are ranked within their cell.
+    """
+    group = group or []
+    counts = df.where(F.col(column).isNotNull()).groupBy(*group, F.col(column).alias("v")).agg(F.count("*").alias("c"))
+    cell = F.signum("v") * F.floor(F.log2(F.abs(F.col("v").cast("double")) + 1) * 256)
+    counts = counts.withColumn("cell", cell.cast("int"))
+    w = Window.partitionBy(*group)  # some ten thousand cells at most
+    cells = counts.groupBy(*group, "cell").agg(F.sum("c").alias("n"))
+    cells = cells.withColumn("before", F.sum("n").over(w.orderBy("cell")) - F.col("n")).withColumn("total", F.sum("n").over(w)).drop("n")
+    inside = F.sum("c").over(Window.partitionBy(*group, "cell").orderBy("v"))
+    return counts.withColumn("inside", inside).join(cells, [*group, "cell"]).select(*group, "v", (F.col("before") + F.col("inside")).alias("upto"), "total")
+
+
+def at_place(place: Column) -> Column:
+    """Of `value_ranks`: the value at a place (from 0)."""
+    return F.min(F.when(F.col("upto") > place, F.col("v")))
 
 
 def is_evenly_spaced(idx: str, n: str, k: str) -> Column:

@@ -71,26 +71,51 @@ def rule_search(rows: DataFrame, grid: DataFrame | None = None) -> DataFrame:
     return _evaluated(run, ["signal", "value"], rows).withColumnRenamed("value", "threshold")
 
 
-def pair_search(rows: DataFrame, grid: DataFrame | None = None) -> DataFrame:
-    """Every pair of thresholds of two signals, triggering if either does, over grouped combinations of values.
+#: thresholds of a signal that pairs are made of, at most: the rules are as many as pairs of thresholds
+MOST_THRESHOLDS = 2000
 
-    The rules are a grid of reviewed values, so their number is bounded by the review, not by the rows.
+
+def pair_search(rows: DataFrame, grid: DataFrame | None = None, most: int = MOST_THRESHOLDS) -> DataFrame:
+    """Every pair of thresholds of two signals, triggering if either does. More than `most` thresholds of a signal are
+    an error when the rows are computed: the result has a row for each pair.
+
+    No rule meets a row. A row's level in a signal is the number of thresholds that it reaches; rows are counted by
+    their levels in two signals, and sums along both sides give the rows that reach both thresholds of a pair. Those
+    that reach either are the ones of the two single rules less these.
     """
     grid = threshold_grid(rows) if grid is None else grid
     names = list(SIGNALS)
+    strict = F.when(F.col("signal") == "printable_char_ratio", -F.col("threshold")).otherwise(F.col("threshold"))
+    of = Window.partitionBy("signal")  # `most` thresholds
+    checked = F.when(F.col("of") <= most, F.col("of")).otherwise(F.raise_error(F.concat(F.lit("too many thresholds of "), "signal")).cast("long"))
+    marks = grid.withColumn("strict", strict).withColumn("of", F.count("*").over(of)).withColumn("of", checked)
+    marks = marks.withColumn("level", F.row_number().over(of.orderBy("strict"))).select("signal", "threshold", "strict", "level")
+    # levels of the values: the number of thresholds up to a value, along its signal
+    each = unpivoted(rows).where("value is not null").select("signal", "value").distinct()
+    up = F.when(F.col("signal") == "printable_char_ratio", -F.col("value")).otherwise(F.col("value"))
+    both = each.select("signal", "value", up.alias("strict"), F.lit(0).alias("mark")).union(marks.select("signal", F.lit(None).cast("double"), "strict", F.lit(1)))
+    reached = F.sum("mark").over(of.orderBy("strict").rangeBetween(Window.unboundedPreceding, 0))
+    levels = both.withColumn("level", reached).where("value is not null").select("signal", "value", "level")
     combos = rows.select(*names, *_flags()).groupBy(*names).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("main").alias("main"))
-    a, b = (grid.select(F.col("signal").alias(f"{s}_signal"), F.col("threshold").alias(f"{s}_threshold")) for s in ("left", "right"))
+    for s in names:
+        own = levels.where(F.col("signal") == s).select(F.col("value").alias(s), F.col("level").alias(f"{s}_level"))
+        combos = combos.withColumn(s, F.col(s).cast("double")).join(own, s, "left").withColumn(f"{s}_level", F.coalesce(f"{s}_level", F.lit(0)))
+    sides = [F.struct(F.lit(a).alias("left_signal"), F.col(f"{a}_level").alias("i"), F.lit(b).alias("right_signal"), F.col(f"{b}_level").alias("j")) for k, a in enumerate(names) for b in names[k + 1 :]]
+    sums = [F.sum(c).alias(c) for c in ("tp", "fp", "main")]
+    counted = combos.select(F.explode(F.array(*sides)).alias("x"), "tp", "fp", "main").groupBy("x.left_signal", "x.i", "x.right_signal", "x.j").agg(*sums)
+    # the rules, with the zero levels that rows of neither threshold have
+    level = lambda side, n: marks.select(F.col("signal").alias(f"{side}_signal"), F.col("threshold").alias(f"{side}_threshold"), F.col("level").alias(n)).union(marks.select("signal", F.lit(None).cast("double"), F.lit(0)).distinct())
     place = lambda c: F.array_position(F.array(*map(F.lit, names)), F.col(c))
-    pairs = a.join(b, place("left_signal") < place("right_signal"))
-
-    def hit(side: str) -> Column:
-        out = F.lit(False)
-        for s, op in SIGNALS.items():
-            value, limit = F.col(s), F.col(f"{side}_threshold")
-            out = F.when(F.col(f"{side}_signal") == s, F.coalesce(value <= limit if op == "<=" else value >= limit, F.lit(False))).otherwise(out)
-        return out
-
-    hits = combos.join(F.broadcast(pairs), hit("left") | hit("right"))
+    pair = level("left", "i").withColumn("left_place", place("left_signal")).join(level("right", "j").withColumn("right_place", place("right_signal")), F.col("left_place") < F.col("right_place"))
+    cube = pair.join(counted, ["left_signal", "i", "right_signal", "j"], "left").na.fill(0, ["tp", "fp", "main"])
+    key = ["left_signal", "right_signal"]
+    along = lambda c, fixed, by: F.sum(c).over(Window.partitionBy(*key, fixed).orderBy(F.desc(by)))
+    for fixed, by in (("i", "j"), ("j", "i")):
+        cube = cube.withColumns({c: along(c, fixed, by) for c in ("tp", "fp", "main")})
+    # reaching level 0 of a signal is no condition: there the sums are those of one rule
+    single = lambda fixed: Window.partitionBy(*key, fixed)
+    either = {c: F.max(F.when(F.col("j") == 0, F.col(c))).over(single("i")) + F.max(F.when(F.col("i") == 0, F.col(c))).over(single("j")) - F.col(c) for c in ("tp", "fp", "main")}
+    hits = cube.select(*key, "left_threshold", "right_threshold", "i", "j", *(v.alias(c) for c, v in either.items())).where("i > 0 and j > 0")
     return _evaluated(hits, ["left_signal", "left_threshold", "right_signal", "right_threshold"], rows)
 
 

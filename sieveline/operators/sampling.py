@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sieveline.functions import text as T
 from sieveline.operators.inventory import collapse_duplicates
-from sieveline.operators.ranking import evenly_spaced, quota_sample, quotas, ranked
+from sieveline.operators.ranking import evenly_spaced, numbered, quota_sample, quotas, ranked
 
 ROOT_GROUP = ["source_root_id", "parent_group"]
 PATH = ["relative_path"]
@@ -116,5 +116,14 @@ def pool_items(pools: DataFrame, files: DataFrame, duplicates: DataFrame, sample
 
 
 def batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
-    """batch_id of consecutive rows of a manifest, `size` each; the manifest is a small, driver-sized list of tasks."""
-    return df.withColumn("batch_id", F.expr(f"(row_number() over (order by {', '.join(order)}) - 1) div {size}"))
+    """batch_id of consecutive rows in the order, `size` each."""
+    return numbered(df, order, "_place").withColumn("batch_id", F.expr(f"_place div {size}")).drop("_place")
+
+
+def selection_hash(pools: DataFrame) -> DataFrame:
+    """A hash of all items of a selection, whatever their order: their hashes are folded by six, three and no digits."""
+    h = F.sha2(F.concat_ws("|", "pool_name", "parent_group", "relative_path", *(F.col(c).cast("string") for c in ("group_population", "group_quota", "selection_index"))), 256)
+    fold = F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ","), 256).alias("h")
+    six = pools.groupBy(F.substring(h, 1, 6).alias("six")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(h)), ","), 256).alias("h"), F.count("*").alias("items"))
+    three = six.groupBy(F.substring("six", 1, 3).alias("three")).agg(fold, F.sum("items").alias("items"))
+    return three.agg(fold.alias("selection_hash"), F.coalesce(F.sum("items"), F.lit(0)).alias("items"))

@@ -59,32 +59,33 @@ def ocr_pages(spark, sf_dir):
     return files(spark, sf_dir).select("doc_id", F.array_join(T.ocr_pages(F.col("page_count")).cast("array<string>"), ",").alias("pages"))
 
 
-_EVIDENCE = FILES + """
-, pages AS (SELECT doc_id, page_count, substr(text, 1, 1500) AS a, substr(text, 1501, 1500) AS b, substr(text, 3001, 1500) AS c FROM files),
-whole AS (SELECT *, CASE WHEN page_count > 0 THEN '<<<PAGE:0>>>' || chr(10) || a ELSE '' END || CASE WHEN page_count > 1 THEN chr(10) || '<<<PAGE:1>>>' || chr(10) || b ELSE '' END
-  || CASE WHEN page_count > 2 THEN chr(10) || '<<<PAGE:2>>>' || chr(10) || c ELSE '' END AS t FROM pages)
+_PAGES = """, pages AS (SELECT f.doc_id, p.n, {text} AS page FROM files f, unnest({numbers}) AS p(n)),
+whole AS (SELECT f.doc_id, coalesce(string_agg('<<<PAGE:' || p.n || '>>>' || chr(10) || {cut}, chr(10) ORDER BY p.n), '') AS t, coalesce(sum(length(p.page)), 0)::BIGINT AS raw, count(*) FILTER (WHERE length(p.page) > {most}) AS cut FROM files f LEFT JOIN pages p ON p.doc_id = f.doc_id GROUP BY f.doc_id)
 """
+_PAGE_TEXT = "substr(f.text, (p.n * 1500 + 1)::BIGINT, 1500)"
+EVIDENCE = FILES + _PAGES.format(text=_PAGE_TEXT, numbers="list_filter([0, 1, 2], lambda k: k < f.page_count)", cut="p.page", most=1 << 30)
+_OCR_NUMBERS = "list_distinct(list_filter([0, 1, 2, (f.page_count - 1) // 2, ((f.page_count - 1) * 3) // 4], lambda k: k >= 0 AND k < f.page_count))"
+# pages, characters of a page and of all evidence that a run takes
+EVIDENCE_CHARS, OCR_PAGE_CHARS, OCR_CHARS = 12000, 4000, 20000
 
 
-@query(_EVIDENCE + """SELECT doc_id, sha256(substr(t, 1, 3000)) AS evidence_sha256, length(substr(t, 1, 3000)) AS evidence_char_count, length(t) > 3000 AS evidence_truncated,
-  CASE WHEN page_count > 0 THEN length(a) ELSE 0 END + CASE WHEN page_count > 1 THEN length(b) ELSE 0 END + CASE WHEN page_count > 2 THEN length(c) ELSE 0 END AS raw_text_char_count FROM whole""")
-def evidence_assemble(spark, sf_dir):
+def evidence_of(files_, cap=EVIDENCE_CHARS):
     numbers = _first_three(F.col("page_count"))
-    out = E.assemble(T.pages_of(F.col("text"), numbers, PAGE), numbers, 3000)
-    return files(spark, sf_dir).select("doc_id", F.sha2(out["evidence_text"], 256).alias("evidence_sha256"), *(out[k].alias(k) for k in ("evidence_char_count", "evidence_truncated", "raw_text_char_count")))
+    return E.assemble(T.pages_of(F.col("text"), numbers, PAGE), numbers, cap)
 
 
-@query(FILES + """
-, pages AS (SELECT doc_id, page_count, substr(text, 1, 1500) AS a, substr(text, 1501, 1500) AS b, substr(text, 3001, 1500) AS c FROM files),
-whole AS (SELECT *, CASE WHEN page_count > 0 THEN '<<<PAGE:0>>>' || chr(10) || substr(a, 1, 1000) ELSE '' END || CASE WHEN page_count > 1 THEN chr(10) || '<<<PAGE:1>>>' || chr(10) || substr(b, 1, 1000) ELSE '' END
-  || CASE WHEN page_count > 2 THEN chr(10) || '<<<PAGE:2>>>' || chr(10) || substr(c, 1, 1000) ELSE '' END AS t FROM pages)
-SELECT doc_id, sha256(substr(t, 1, 2500)) AS evidence_sha256, CASE WHEN page_count > 0 THEN length(a) ELSE 0 END + CASE WHEN page_count > 1 THEN length(b) ELSE 0 END + CASE WHEN page_count > 2 THEN length(c) ELSE 0 END AS raw_chars,
-  CASE WHEN page_count > 0 AND length(a) > 1000 THEN 1 ELSE 0 END + CASE WHEN page_count > 1 AND length(b) > 1000 THEN 1 ELSE 0 END + CASE WHEN page_count > 2 AND length(c) > 1000 THEN 1 ELSE 0 END AS pages_truncated,
-  length(t) > 2500 AS globally_truncated FROM whole""")
+@query(EVIDENCE + f"SELECT doc_id, sha256(substr(t, 1, {EVIDENCE_CHARS})) AS evidence_sha256, length(substr(t, 1, {EVIDENCE_CHARS})) AS evidence_char_count, length(t) > {EVIDENCE_CHARS} AS evidence_truncated, raw AS raw_text_char_count FROM whole")
+def evidence_assemble(spark, sf_dir):
+    f = files(spark, sf_dir)
+    out = evidence_of(f)
+    return f.select("doc_id", F.sha2(out["evidence_text"], 256).alias("evidence_sha256"), *(out[k].alias(k) for k in ("evidence_char_count", "evidence_truncated")), out["raw_text_char_count"].cast("long").alias("raw_text_char_count"))
+
+
+@query(FILES + _PAGES.format(text=_PAGE_TEXT, numbers=_OCR_NUMBERS, cut=f"substr(p.page, 1, {OCR_PAGE_CHARS})", most=OCR_PAGE_CHARS) + f"SELECT doc_id, sha256(substr(t, 1, {OCR_CHARS})) AS evidence_sha256, raw AS raw_chars, cut AS pages_truncated, length(t) > {OCR_CHARS} AS globally_truncated FROM whole")
 def ocr_assemble(spark, sf_dir):
-    numbers = _first_three(F.col("page_count"))
-    out = E.assemble_ocr(T.pages_of(F.col("text"), numbers, PAGE), numbers, 1000, 2500)
-    return files(spark, sf_dir).select("doc_id", F.sha2(out["evidence_text"], 256).alias("evidence_sha256"), *(out[k].alias(k) for k in ("raw_chars", "pages_truncated", "globally_truncated")))
+    numbers = T.ocr_pages(F.col("page_count"))
+    out = E.assemble_ocr(T.pages_of(F.col("text"), numbers, PAGE), numbers, OCR_PAGE_CHARS, OCR_CHARS)
+    return files(spark, sf_dir).select("doc_id", F.sha2(out["evidence_text"], 256).alias("evidence_sha256"), out["raw_chars"].cast("long").alias("raw_chars"), out["pages_truncated"].cast("long").alias("pages_truncated"), out["globally_truncated"].alias("globally_truncated"))
 
 
 @query()
@@ -116,16 +117,18 @@ def marked(spark, sf_dir):
 
 @query(SIGNALS + f"SELECT doc_id, {_SIGNAL_SQL} FROM counted")
 def quality_signals(spark, sf_dir):
-    own = T.quality_signals(F.col("t"))
-    return marked(spark, sf_dir).select("doc_id", *(F.round(own[k], 6).alias(k) if k.endswith(("rate", "ratio")) else own[k].alias(k) for k in _SHOWN))
+    own = F.col("s")
+    rows = marked(spark, sf_dir).select("doc_id", T.quality_signals(F.col("t")).alias("s"))
+    return rows.select("doc_id", *(F.round(own[k], 6).alias(k) if k.endswith(("rate", "ratio")) else own[k].alias(k) for k in _SHOWN))
 
 
 @query(SIGNALS + "SELECT doc_id, doc_id % 23 <> 0 AS evidence_text_available, CASE WHEN doc_id % 23 <> 0 THEN total_chars END AS total_chars, CASE WHEN doc_id % 23 <> 0 THEN total_chars = total_chars END AS total_chars_matches, CASE WHEN doc_id % 23 <> 0 THEN round((fffd + pua + cc) / total_chars, 6) END AS suspicious_char_rate FROM counted")
 def signal_rows(spark, sf_dir):
     sample = marked(spark, sf_dir).select("doc_id", F.length("t").alias("canonical_chars"))
     texts = marked(spark, sf_dir).select("doc_id", F.when(~every(23), F.col("t")).alias("t"))
-    own = T.quality_signals(F.col("t"))
-    return sample.join(texts, "doc_id").select("doc_id", F.col("t").isNotNull().alias("evidence_text_available"), own["total_chars"].alias("total_chars"), (own["total_chars"] == F.col("canonical_chars")).alias("total_chars_matches"), F.round(own["suspicious_char_rate"], 6).alias("suspicious_char_rate"))
+    own = F.col("s")
+    signals = sample.join(texts, "doc_id").select("doc_id", "canonical_chars", "t", T.quality_signals(F.col("t")).alias("s"))
+    return signals.select("doc_id", F.col("t").isNotNull().alias("evidence_text_available"), own["total_chars"].alias("total_chars"), (own["total_chars"] == F.col("canonical_chars")).alias("total_chars_matches"), F.round(own["suspicious_char_rate"], 6).alias("suspicious_char_rate"))
 
 
 @query("SELECT conv_id, turn, greatest(1, len(list_filter(regexp_split_to_array(text, '[。！？!?；;.!]+'), lambda s: regexp_replace(s, '\\s', '', 'g') <> ''))) AS sentences FROM conversations")
@@ -285,10 +288,11 @@ def accounting(spark, sf_dir):
     return S.accounting(f.where(~every(13)), f.where(~every(19)))
 
 
-@query("SELECT doc_id, 2::BIGINT AS sets FROM documents WHERE doc_id % 13 = 0 AND doc_id % 4 = 0")
+@query("SELECT doc_id, 2::BIGINT AS sets FROM labels WHERE quality = 0 AND toxic = 1")
 def overlap_check(spark, sf_dir):
-    d = documents(spark, sf_dir)
-    both = d.where(every(13)).select("doc_id", F.lit("a").alias("s")).union(d.where(every(4)).select("doc_id", F.lit("b")))
+    """Documents that are in the set of bad ones and in that of toxic ones."""
+    d = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    both = d.where("quality = 0").select("doc_id", F.lit("a").alias("s")).union(d.where("toxic = 1").select("doc_id", F.lit("b")))
     return S.overlaps(both, "doc_id", "s")
 
 
@@ -345,15 +349,14 @@ def union_roots(spark, sf_dir):
     return out
 
 
-@query("SELECT source FROM documents WHERE doc_id % 2 = 0 EXCEPT SELECT source FROM documents WHERE n_chars > 9000")
+@query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
 def set_except(spark, sf_dir):
-    d = documents(spark, sf_dir)
-    return d.where(every(2)).select("source").subtract(d.where("n_chars > 9000").select("source"))
+    return documents(spark, sf_dir).select("doc_id").subtract(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id"))
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT doc_id FROM labels")
+@query("SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels")
 def set_intersect(spark, sf_dir):
-    return documents(spark, sf_dir).where(every(2)).select("doc_id").intersect(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id"))
+    return documents(spark, sf_dir).select("doc_id").intersect(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id"))
 
 
 @query()

@@ -11,12 +11,12 @@ from sieveline.plans.inventory_queries import SIGNALS, marked
 
 registry = query = Registry()
 
-#: reviewed rows (labels: quality 0 is the positive role), with signals of two decimals, so that thresholds repeat
+#: reviewed rows (labels: quality 0 is the positive role)
 ROWS = (
     SIGNALS
     + """, rows AS (SELECT c.doc_id AS calibration_item_id, CASE WHEN c.doc_id % 2 = 0 THEN 'main' ELSE 'audit' END AS pool_name, CASE WHEN l.quality = 0 THEN 'positive' WHEN l.quality = 1 THEN 'negative' END AS role,
-  CASE WHEN c.doc_id % 23 <> 0 THEN round(fffd / total_chars, 2) END AS replacement_char_rate, CASE WHEN c.doc_id % 23 <> 0 THEN round(pua / total_chars, 2) END AS private_use_char_rate, CASE WHEN c.doc_id % 23 <> 0 THEN round(cc / total_chars, 2) END AS control_char_rate,
-  CASE WHEN c.doc_id % 23 <> 0 THEN round((total_chars - pua - cc - nl) / total_chars, 2) END AS printable_char_ratio, CASE WHEN c.doc_id % 23 <> 0 THEN round((fffd + pua + cc) / total_chars, 2) END AS suspicious_char_rate
+  CASE WHEN c.doc_id % 23 <> 0 THEN fffd / total_chars END AS replacement_char_rate, CASE WHEN c.doc_id % 23 <> 0 THEN pua / total_chars END AS private_use_char_rate, CASE WHEN c.doc_id % 23 <> 0 THEN cc / total_chars END AS control_char_rate,
+  CASE WHEN c.doc_id % 23 <> 0 THEN (total_chars - pua - cc - nl) / total_chars END AS printable_char_ratio, CASE WHEN c.doc_id % 23 <> 0 THEN (fffd + pua + cc) / total_chars END AS suspicious_char_rate
   FROM counted c LEFT JOIN labels l ON c.doc_id = l.doc_id),
 long AS (SELECT calibration_item_id, pool_name, role, 'replacement_char_rate' AS signal, replacement_char_rate AS value, 1 AS sign FROM rows UNION ALL SELECT calibration_item_id, pool_name, role, 'private_use_char_rate', private_use_char_rate, 1 FROM rows
   UNION ALL SELECT calibration_item_id, pool_name, role, 'control_char_rate', control_char_rate, 1 FROM rows UNION ALL SELECT calibration_item_id, pool_name, role, 'printable_char_ratio', printable_char_ratio, -1 FROM rows UNION ALL SELECT calibration_item_id, pool_name, role, 'suspicious_char_rate', suspicious_char_rate, 1 FROM rows),
@@ -27,10 +27,15 @@ tot AS (SELECT count(*) FILTER (WHERE role = 'positive') AS p, count(*) FILTER (
 
 
 def rows(spark, sf_dir):
-    own = T.quality_signals(F.when(~every(23), F.col("t")))
+    signals = marked(spark, sf_dir).select("doc_id", T.quality_signals(F.when(~every(23), F.col("t"))).alias("s"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.when(F.col("quality") == 0, "positive").when(F.col("quality") == 1, "negative").alias("role"))
-    out = marked(spark, sf_dir).select("doc_id", *(F.round(own[s], 2).alias(s) for s in R.SIGNALS)).join(labels, "doc_id", "left")
-    return staged(spark, "signals")(out.withColumnRenamed("doc_id", "calibration_item_id").withColumn("pool_name", F.when(F.col("calibration_item_id") % 2 == 0, "main").otherwise("audit")), "rows")
+    out = signals.select("doc_id", *(F.col("s")[s].alias(s) for s in R.SIGNALS)).join(labels, "doc_id", "left")
+    return out.withColumnRenamed("doc_id", "calibration_item_id").withColumn("pool_name", F.when(F.col("calibration_item_id") % 2 == 0, "main").otherwise("audit"))
+
+
+def written_rows(spark, sf_dir):
+    """For the searches, which read the rows several times."""
+    return staged(spark, "signals")(rows(spark, sf_dir), "rows")
 
 
 @query(ROWS + "SELECT calibration_item_id, coalesce(suspicious_char_rate >= 0.01, false) AS triggered FROM rows")
@@ -63,17 +68,25 @@ best AS (SELECT *, row_number() OVER (PARTITION BY signal ORDER BY CASE WHEN abs
 
 @query(ROWS + _EVALUATED + "SELECT signal, threshold, true_positives, false_positives, main_triggered, round(recall, 6) AS recall, CASE WHEN abs(recall - 1) <= 1e-9 AND main_rate <= 0.15 THEN 'automatic_pre_annotation_ocr' ELSE 'annotation_side_retry' END AS strategy FROM best WHERE r = 1")
 def rule_search(spark, sf_dir):
-    found = R.strategy(R.best(R.rule_search(rows(spark, sf_dir)), ["threshold"], ["signal"]))
+    found = R.strategy(R.best(R.rule_search(written_rows(spark, sf_dir)), ["threshold"], ["signal"]))
     return found.select("signal", "threshold", "true_positives", "false_positives", "main_triggered", F.round("recall", 6).alias("recall"), "strategy")
 
 
-@query(ROWS + """, names AS (SELECT * FROM (VALUES ('replacement_char_rate', 1), ('private_use_char_rate', 2), ('control_char_rate', 3), ('printable_char_ratio', 4), ('suspicious_char_rate', 5)) v(signal, place)),
-hit AS (SELECT g.signal, g.threshold, n.place, l.calibration_item_id, l.role, l.pool_name FROM grid g JOIN names n USING (signal) JOIN long l ON g.signal = l.signal AND l.value * g.sign >= g.threshold * g.sign),
-pairs AS (SELECT a.signal AS left_signal, a.threshold AS left_threshold, b.signal AS right_signal, b.threshold AS right_threshold FROM (SELECT DISTINCT signal, threshold, place FROM grid JOIN names USING (signal)) a JOIN (SELECT DISTINCT signal, threshold, place FROM grid JOIN names USING (signal)) b ON a.place < b.place),
-either AS (SELECT DISTINCT p.*, h.calibration_item_id, h.role, h.pool_name FROM pairs p JOIN hit h ON (h.signal = p.left_signal AND h.threshold = p.left_threshold) OR (h.signal = p.right_signal AND h.threshold = p.right_threshold))
-SELECT left_signal, left_threshold, right_signal, right_threshold, count(*) FILTER (WHERE role = 'positive') AS true_positives, count(*) FILTER (WHERE role = 'negative') AS false_positives, count(*) FILTER (WHERE pool_name = 'main') AS main_triggered FROM either GROUP BY ALL""")
+@query(ROWS + _EVALUATED.split("rated AS")[0].rstrip().rstrip(",") + """, names AS (SELECT * FROM (VALUES ('replacement_char_rate', 1), ('private_use_char_rate', 2), ('control_char_rate', 3), ('printable_char_ratio', 4), ('suspicious_char_rate', 5)) v(signal, place)),
+marks AS (SELECT signal, threshold, sign, place, row_number() OVER (PARTITION BY signal ORDER BY threshold * sign) AS lev FROM grid JOIN names USING (signal)),
+reach AS (SELECT l.calibration_item_id, l.role, l.pool_name, l.signal, max(m.lev) AS lev FROM long l JOIN marks m ON m.signal = l.signal AND l.value * l.sign >= m.threshold * m.sign GROUP BY ALL),
+hist AS (SELECT a.signal AS sa, a.lev AS i, b.signal AS sb, b.lev AS j, count(*) FILTER (WHERE a.role = 'positive') AS tp, count(*) FILTER (WHERE a.role = 'negative') AS fp, count(*) FILTER (WHERE a.pool_name = 'main') AS main FROM reach a JOIN reach b USING (calibration_item_id) GROUP BY ALL),
+cube AS (SELECT x.signal AS sa, x.threshold AS ta, x.lev AS i, y.signal AS sb, y.threshold AS tb, y.lev AS j, coalesce(h.tp, 0) AS tp, coalesce(h.fp, 0) AS fp, coalesce(h.main, 0) AS main FROM marks x JOIN marks y ON x.place < y.place LEFT JOIN hist h ON h.sa = x.signal AND h.i = x.lev AND h.sb = y.signal AND h.j = y.lev),
+rowsum AS (SELECT sa, ta, i, sb, tb, j, sum(tp) OVER w AS tp, sum(fp) OVER w AS fp, sum(main) OVER w AS main FROM cube WINDOW w AS (PARTITION BY sa, sb, i ORDER BY j DESC)),
+joint AS (SELECT sa, ta, sb, tb, sum(tp) OVER w AS tp, sum(fp) OVER w AS fp, sum(main) OVER w AS main FROM rowsum WINDOW w AS (PARTITION BY sa, sb, j ORDER BY i DESC)),
+ruled AS (SELECT sa AS left_signal, ta AS left_threshold, sb AS right_signal, tb AS right_threshold, (e.true_positives + q.true_positives - tp)::BIGINT AS true_positives, (e.false_positives + q.false_positives - fp)::BIGINT AS false_positives, (e.main_triggered + q.main_triggered - main)::BIGINT AS main_triggered
+  FROM joint JOIN ev e ON e.signal = sa AND e.threshold = ta JOIN ev q ON q.signal = sb AND q.threshold = tb),
+placed AS (SELECT *, true_positives / p AS recall FROM ruled, tot), firsts AS (SELECT *, row_number() OVER (PARTITION BY left_signal, right_signal ORDER BY CASE WHEN abs(recall - 1) <= 1e-9 THEN 0 ELSE 1 END, CASE WHEN abs(recall - 1) <= 1e-9 THEN main_triggered ELSE -recall END, false_positives, left_threshold, right_threshold) AS r FROM placed)
+SELECT left_signal, left_threshold, right_signal, right_threshold, true_positives, false_positives, main_triggered FROM firsts WHERE r = 1""")
 def pair_search(spark, sf_dir):
-    return R.pair_search(rows(spark, sf_dir)).select("left_signal", "left_threshold", "right_signal", "right_threshold", "true_positives", "false_positives", "main_triggered")
+    """The best of all rules of each pair of signals."""
+    found = R.best(R.pair_search(written_rows(spark, sf_dir)), ["left_threshold", "right_threshold"], ["left_signal", "right_signal"])
+    return found.select("left_signal", "left_threshold", "right_signal", "right_threshold", "true_positives", "false_positives", "main_triggered")
 
 
 @query(ROWS + "SELECT role, count(*) AS n, count(*) FILTER (WHERE pool_name = 'main') AS in_main FROM rows WHERE role IS NOT NULL GROUP BY role")

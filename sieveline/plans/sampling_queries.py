@@ -59,11 +59,11 @@ def d3_sample(spark, sf_dir):
     return S.proportional_sample(f, S.first_per_group(f), 500, 5).select("doc_id", "idx", "final_quota")
 
 
-@query("""WITH c AS (SELECT source, count(*) FILTER (WHERE doc_id % 3 = 0) AS capacity FROM documents GROUP BY source), t AS (SELECT *, (sum(capacity) OVER ())::BIGINT AS total FROM c),
+@query("""WITH c AS (SELECT source, count(*) AS capacity FROM documents GROUP BY source), t AS (SELECT *, (sum(capacity) OVER ())::BIGINT AS total FROM c),
 f AS (SELECT *, (least(101, total) * capacity) // total AS floor_share, (least(101, total) * capacity) % total AS remainder FROM t)
 SELECT source, capacity, floor_share, CASE WHEN row_number() OVER (ORDER BY remainder DESC, source) <= least(101, total) - sum(floor_share) OVER () THEN 1 ELSE 0 END AS award FROM f""")
 def hamilton(spark, sf_dir):
-    capacities = documents(spark, sf_dir).groupBy("source").agg(F.count_if(every(3)).alias("capacity"))
+    capacities = documents(spark, sf_dir).groupBy("source").agg(F.count("*").alias("capacity"))
     return R.hamilton(capacities, ["source"], "capacity", F.lit(101)).select("source", "capacity", "floor_share", "award")
 
 
@@ -129,15 +129,15 @@ def pools(spark, sf_dir):
 
 @query(CASCADE + "SELECT doc_id, group_population, group_quota, selection_index FROM main")
 def main_pool(spark, sf_dir):
-    f = files(spark, sf_dir)
+    f = staged(spark, "main")(files(spark, sf_dir), "files")
     eligible = I.collapse_duplicates(f.where(S.is_main_eligible()), I.exact_duplicates(f))
     return S.grouped_pool(eligible, "main", MAIN_TARGET, MAIN_BASE).select("doc_id", "group_population", "group_quota", "selection_index")
 
 
-@query(FILES + "SELECT doc_id, count(*) OVER (PARTITION BY parent_group) AS group_population, i AS selection_index FROM (SELECT *, row_number() OVER (ORDER BY parent_group, relative_path, file_instance_id) - 1 AS i FROM files WHERE inventory_status = 'partial') WHERE i < 40")
+@query(FILES + "SELECT doc_id, count(*) OVER (PARTITION BY parent_group) AS group_population, i AS selection_index FROM (SELECT *, row_number() OVER (ORDER BY parent_group, relative_path, file_instance_id) - 1 AS i FROM files WHERE inventory_status = 'partial')")
 def exception_pool(spark, sf_dir):
     partial = files(spark, sf_dir).where("inventory_status = 'partial'")
-    return S.exception_pool(partial, 40).select("doc_id", "group_population", "selection_index")
+    return S.exception_pool(partial).select("doc_id", "group_population", "selection_index")
 
 
 
@@ -147,12 +147,11 @@ def pool_items(spark, sf_dir):
     return S.pool_items(p, f, d, "sample-1").select("calibration_item_id", "sample_role", "pool_name", "file_instance_id", "sha256", "size_bytes", "exact_duplicate_group_id", "exact_duplicate_representative", "group_population", "group_quota", "selection_index")
 
 
-@query(CASCADE + "SELECT sha256(string_agg(h, ',' ORDER BY h)) AS selection_hash, count(*) AS items FROM (SELECT sha256(concat_ws('|', pool_name, parent_group, relative_path, group_population::VARCHAR, group_quota::VARCHAR, selection_index::VARCHAR)) AS h FROM pools)")
+@query(CASCADE + """, e AS (SELECT sha256(concat_ws('|', pool_name, parent_group, relative_path, group_population::VARCHAR, group_quota::VARCHAR, selection_index::VARCHAR)) AS h FROM pools),
+six AS (SELECT substr(h, 1, 6) AS six, sha256(string_agg(h, ',' ORDER BY h)) AS h, count(*) AS items FROM e GROUP BY 1), three AS (SELECT substr(six, 1, 3) AS three, sha256(string_agg(h, ',' ORDER BY h)) AS h, sum(items) AS items FROM six GROUP BY 1)
+SELECT sha256(string_agg(h, ',' ORDER BY h)) AS selection_hash, sum(items)::BIGINT AS items FROM three""")
 def selection_hash(spark, sf_dir):
-    """A hash of the whole selection; its size is set by the pools' targets, not by the files."""
-    p = pools(spark, sf_dir)[2]
-    h = F.sha2(F.concat_ws("|", "pool_name", "parent_group", "relative_path", *(F.col(c).cast("string") for c in ("group_population", "group_quota", "selection_index"))), 256)
-    return p.select(h.alias("h")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ","), 256).alias("selection_hash"), F.count("*").alias("items"))
+    return S.selection_hash(pools(spark, sf_dir)[2])
 
 
 @query(CASCADE + "SELECT pool_name, count(*) AS actual, count(DISTINCT parent_group) AS groups, sum(selection_index)::BIGINT AS index_sum, count(*) = count(DISTINCT file_instance_id) AS is_disjoint FROM pools GROUP BY pool_name")

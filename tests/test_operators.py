@@ -51,7 +51,7 @@ def test_filenames(spark):
 
 
 def test_signals(spark):
-    got = spark.createDataFrame([("A机1\t\n\r\x00\ufffd\ue000",), ("",), (None,)], "t string").select(*(c.alias(k) for k, c in T.quality_signals(F.col("t")).items())).collect()
+    got = spark.createDataFrame([("A机1\t\n\r\x00\ufffd\ue000",), ("",), (None,)], "t string").select(T.quality_signals(F.col("t")).alias("s")).select("s.*").collect()
     first = got[0].asDict()
     want = {"replacement_char_count": 1, "private_use_char_count": 1, "control_char_count": 1, "printable_char_count": 4, "ascii_letter_count": 1, "cjk_char_count": 1, "digit_count": 1, "whitespace_count": 3, "suspicious_char_count": 3}
     assert {k: first[k] for k in want} == want
@@ -170,3 +170,58 @@ def test_annotation_pairs(spark):
     retry = {r["item_id"]: r for r in A.retry_decisions(paired).collect()}["evidence_retry_required"]
     assert (retry["required"], retry["triggered_by_a"], retry["triggered_by_b"], retry["reasons"]) == (True, False, True, "b.evidence_usability=unreadable")
     assert A.superseded(paired).count() == 2
+
+
+def test_ranks_by_range_equal_the_window(spark):
+    """A group that is too large for one task is ranked in ranges, with the same places."""
+    import random
+
+    from sieveline.operators import ranking as R
+
+    rng = random.Random(1)
+    rows = [(rng.choice(("a", "a", "a", "b", None)), f"p{i:05d}", i) for i in rng.sample(range(3000), 1200)]
+    df = spark.createDataFrame(rows, "g string, p string, i long").repartition(5)
+    want = sorted(map(tuple, R.ranked(df, ["g"], ["p"]).select("i", "idx", "n").collect()))
+    assert sorted(map(tuple, R.ranked(df, ["g"], ["p"], most=1).select("i", "idx", "n").collect())) == want
+    assert R.ranked_by_range(df, ["g"], ["p"]).columns == [*df.columns, "idx", "n"]
+    places = {r["i"]: r["at"] for r in R.numbered(df.select("i"), ["i"], "at").collect()}
+    assert places == {i: k for k, i in enumerate(sorted(r[2] for r in rows))}
+    assert R.numbered(df.limit(0), ["i"], "at").count() == 0
+
+
+def test_distribution_of_negative_and_repeated_values(spark):
+    import numpy as np
+
+    from sieveline.operators import inventory as I
+
+    values = [-3.5, -3.5, -1.0, 0.0, 0.25, 0.25, 2.0, 7.0, 1e6, None]
+    row = I.distribution(spark.createDataFrame([(v,) for v in values], "v double"), "v").first()
+    known = sorted(v for v in values if v is not None)
+    assert row["count"] == 9 and (row["min"], row["max"]) == (-3.5, 1e6)
+    for name, p in (("median", 0.5), ("p90", 0.9), ("p99", 0.99)):
+        assert abs(row[name] - np.quantile(known, p)) < 1e-3
+    assert I.distribution(spark.createDataFrame([], "v double"), "v").first()["count"] == 0
+
+
+def test_pair_search_equals_brute_force(spark):
+    import random
+
+    from sieveline.operators import routing as R
+
+    rng = random.Random(2)
+    names = list(R.SIGNALS)
+    rows = [(i, rng.choice(("main", "audit")), rng.choice(("positive", "negative", None)), *(rng.choice((None, 0.0, 0.1, 0.2, 0.5, 1.0)) for _ in names)) for i in range(60)]
+    df = spark.createDataFrame(rows, "calibration_item_id long, pool_name string, role string, " + ", ".join(f"{n} double" for n in names))
+    want = {}
+    grid = {n: {r[3 + k] for r in rows if r[2] and r[3 + k] is not None} for k, n in enumerate(names)}
+    hit = lambda r, n, t: r[3 + names.index(n)] is not None and (r[3 + names.index(n)] <= t if R.SIGNALS[n] == "<=" else r[3 + names.index(n)] >= t)
+    for k, a in enumerate(names):
+        for b in names[k + 1 :]:
+            for x in grid[a]:
+                for y in grid[b]:
+                    own = [r for r in rows if hit(r, a, x) or hit(r, b, y)]
+                    want[a, x, b, y] = tuple(sum(map(f, own)) for f in (lambda r: r[2] == "positive", lambda r: r[2] == "negative", lambda r: r[1] == "main"))
+    got = {(r["left_signal"], r["left_threshold"], r["right_signal"], r["right_threshold"]): (r["true_positives"], r["false_positives"], r["main_triggered"]) for r in R.pair_search(df).collect()}
+    assert got == want
+    with pytest.raises(Exception, match="too many thresholds"):
+        R.pair_search(df, most=2).collect()
