@@ -10,7 +10,7 @@ from pathlib import Path
 import yaml
 
 # fixed values: words that a configuration key may not contain
-SECRET_WORDS = ("password", "secret", "token", "api_key", "credential")
+SECRET_WORDS = ("password", "secret", "token", "api_key", "credential", "private_key")
 
 
 class ConfigError(ValueError):

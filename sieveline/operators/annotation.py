@@ -182,3 +182,55 @@ def prompts(requests: DataFrame, taxonomy: list[tuple[str, str]], rules: list[st
     head = "\n".join([title, *rules, "", "TAXONOMY", domains, "", "DOCUMENT METADATA", ""])
     tail = "\n".join(["", "<<<END_FINAL_EVIDENCE>>>", "", "OUTPUT FIELDS", *FIELDS])
     return requests.select("item_id", F.concat(F.lit(head), metadata, F.lit("\n\nEVIDENCE\n<<<BEGIN_FINAL_EVIDENCE>>>\n"), "evidence_text", F.lit(tail)).alias("prompt"))
+
+
+# ---------------------------------------------------------------- requests, records and artifact rows
+
+IDENTITY = ("run_id", "sample_id", "item_id", "annotator_id", "annotation_pass", "attempt_id")
+COUNTERS = ("input_tokens", "output_tokens", "reasoning_tokens", "latency_ms", "retry_count")
+
+
+def payload(model: Column, prompt: Column, mode: Column, max_tokens: int, schema: str = "{}") -> Column:
+    """The request to a provider as JSON text, in one of the three structured-output modes; null for another mode.
+
+    `schema` is the JSON schema of an output, as text.
+    """
+    messages = F.array(F.struct(F.lit("user").alias("role"), prompt.alias("content")))
+    head = F.to_json(F.struct(model.alias("model"), messages.alias("messages"), F.lit(max_tokens).alias("max_tokens")))
+    strict = f',"response_format":{{"type":"json_schema","json_schema":{{"name":"taxonomy_annotation","strict":true,"schema":{schema}}}}}}}'
+    tail = F.when(mode == "json_schema", F.lit(strict)).when(mode == "json_object", F.lit(',"response_format":{"type":"json_object"}}')).when(mode == "prompt_json_only", F.lit("}"))
+    return F.concat(F.substring(head, F.lit(1), F.length(head) - 1), tail)
+
+
+def record_violations() -> Column:
+    """Codes of what is wrong with an attempt record: superseded if and only if there is a reason, counters not
+    negative, valid if and only if there is a response, and no part of its identity missing."""
+    rules = [
+        (F.col("superseded") != F.coalesce(T.stripped("superseded_reason") != "", F.lit(False)), "superseded_reason"),
+        *((F.col(c) < 0, f"negative_{c}") for c in COUNTERS),
+        (F.col("schema_valid") != F.col("response").isNotNull(), "response"),
+        *((_blank(F.col(c).cast("string")), f"missing_{c}") for c in IDENTITY),
+    ]
+    return F.array_compact(F.array(*(F.when(c, code) for c, code in rules)))
+
+
+def attempt_rows(attempts: DataFrame) -> DataFrame:
+    """Attempts with their record's identity, failed ones included; two rows of one identity are an error."""
+    rows = attempts.withColumn("annotation_record_id", F.concat_ws(":", "run_id", "item_id", "attempt_id"))
+    times = rows.groupBy("annotation_record_id").agg(F.count("*").alias("times"))
+    checked = F.when(F.col("times") == 1, F.col("annotation_record_id")).otherwise(F.raise_error(F.lit("an attempt's identity is repeated")).cast("string"))
+    return rows.join(times, "annotation_record_id").withColumn("annotation_record_id", checked).drop("times")
+
+
+def final_rows(attempts: DataFrame) -> DataFrame:
+    """The valid attempts as final annotations; one that is superseded cannot be final."""
+    checked = F.when(~F.col("superseded"), F.col("response")).otherwise(F.raise_error(F.lit("a superseded annotation is not final")).cast("string"))
+    return attempts.where("schema_valid").withColumn("response", checked).withColumn("annotation_record_id", F.concat_ws(":", "run_id", "item_id", "annotator_id"))
+
+
+def evidence_retry_rows(decisions: DataFrame, source_revision: str, final_revision: str, engine: str, dpi: int) -> DataFrame:
+    """One row for each item whose evidence is taken again; no evidence text is stored."""
+    return decisions.where("required").select(
+        "item_id", F.col("triggered_by_a").alias("retry_triggered_by_a"), F.col("triggered_by_b").alias("retry_triggered_by_b"), F.col("reasons").alias("retry_reason"),
+        F.lit(source_revision).alias("source_evidence_revision"), F.lit(final_revision).alias("final_evidence_revision"), F.lit(engine).alias("ocr_engine"), F.lit(dpi).alias("render_dpi"),
+    )

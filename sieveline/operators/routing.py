@@ -11,6 +11,11 @@ SIGNALS = {"replacement_char_rate": ">=", "private_use_char_rate": ">=", "contro
 BUDGET = 0.15
 
 
+def rule_text(signal: str, op: str, threshold: float) -> str:
+    """A rule in words, with the threshold so that it reads back as the same number."""
+    return f"{signal} {op} {threshold:.17g}"
+
+
 def threshold_rule(signal: str, op: str, threshold: float) -> Column:
     """Whether a row's signal reaches the threshold; a null signal never does."""
     if SIGNALS.get(signal) != op:

@@ -10,6 +10,7 @@ import hashlib
 import json
 import os
 import tempfile
+import uuid
 from collections.abc import Iterable, Mapping
 from pathlib import Path
 
@@ -65,8 +66,19 @@ def write_json(path: Path, value: object) -> None:
 
 
 def write_table(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """As Parquet in exactly the given columns and types; an existing table is an error."""
-    df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema)).write.mode("errorifexists").parquet(path)
+    """As Parquet in exactly the given columns and types: written beside the target, then renamed, so that the target
+    is whole or not there. An existing table is an error."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    target, beside = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex[:8]}.tmp"))
+    fs = target.getFileSystem(conf)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    try:
+        df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema)).write.parquet(beside.toString())
+        if fs.exists(target) or not fs.rename(beside, target):
+            raise FileExistsError(path)
+    finally:
+        fs.delete(beside, True)
 
 
 def write_jsonl(df: DataFrame, path: str, order: list[str]) -> None:

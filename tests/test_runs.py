@@ -3,14 +3,16 @@
 import json
 import os
 import sys
+import uuid
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from sieveline import config, schemas
+from sieveline.operators.annotation import DOMAINS
 from sieveline.plans import runs
-from sieveline.sources import sinks
+from sieveline.sources import labels, provenance, sinks
 from sieveline.sources.discovery import discover
 from sieveline.sources.documents import MissingLibrary, inspect, recognised
 from sieveline.sources.jsonl import read_jsonl, strict_lines
@@ -161,3 +163,105 @@ def test_last_batch_counts(spark, tmp_path):
         spark.createDataFrame([("x", v)], "file_instance_id string, v string").write.parquet(f"file://{tmp_path}/batch_id={b}")
     rows = batches.results(spark, f"file://{tmp_path}").select("v", F.col("batch_id")).collect()
     assert [(r["v"], r["batch_id"]) for r in rows] == [("new", 2)]
+
+
+def test_sample_stages_leave_out_earlier_ones(spark, tmp_path, tree):
+    own = settings(tmp_path, tree)
+    one = runs.sample(spark, own, "d1", "d1-1", opener=Fake)
+    assert one["total_files"] == 3 and one["verdict"] == "PASS" and one["files_per_second"] > 0
+    with pytest.raises(runs.GateError):
+        runs.sample(spark, own, "d2", "d2-0", opener=Fake)
+    two = runs.sample(spark, own, "d2", "d2-1", ["d1-1"], opener=Fake)
+    assert two["total_files"] == 12 and two["earlier_snapshot"] == {"run_id": "d1-1", "same_totals": True}
+    first, second = (set(labels.sample_ids(own.output_root, r, lambda a, b: str(uuid.uuid5(uuid.NAMESPACE_URL, f"corpus://file-instance/{a}/{b}")))) for r in ("d1-1", "d2-1"))
+    assert len(first) == 3 and not first & second
+    (tree / "b" / "【2024-07】new.pdf").write_text("word " * 40)
+    three = runs.sample(spark, own, "d3", "d3-1", ["d1-1", "d2-1"], target=5, opener=Fake)
+    assert three["total_files"] == 1 and three["earlier_snapshot"] == {"run_id": "d2-1", "same_totals": False}
+    assert sinks.manifest_problems(tmp_path / "out" / "d3-1") == []
+
+
+def test_sample_manifests_are_checked(tmp_path):
+    (tmp_path / "r").mkdir()
+    for value in ({"run_id": "x", "items": []}, {"run_id": "r", "items": []}, {"run_id": "r", "items": [{}]}, {"run_id": "r", "count": 2, "items": [{"file_instance_id": "i"}]}):
+        (tmp_path / "r" / "sample_manifest.json").write_text(json.dumps(value))
+        with pytest.raises(labels.InputError):
+            labels.sample_ids(tmp_path, "r", lambda root, path: "i")
+    assert labels.sample_ids(tmp_path, "r") == ["i"]
+    for bad in ("", "../r", "missing"):
+        with pytest.raises(labels.InputError):
+            labels.sample_ids(tmp_path, bad)
+
+
+def test_latest_snapshot_is_of_the_same_roots(tmp_path):
+    for name, roots in (("full-1", {"a": "/x"}), ("full-2", {"a": "/y"}), ("full-3", {"b": "/x"}), ("other-9", {"a": "/x"})):
+        (tmp_path / name).mkdir()
+        value = labels.snapshot_json({"": [1, 2, 3]}, roots)
+        assert labels.snapshot_from(value) == (roots, {"": [1, 2, 3]})
+        (tmp_path / name / "source_snapshot.json").write_text(json.dumps(value))
+    (tmp_path / "full-4").mkdir()
+    (tmp_path / "full-4" / "source_snapshot.json").write_text("broken")
+    assert labels.latest_snapshot(tmp_path, {"a": "/z"}, "full-")[0] == "full-2"
+    assert labels.latest_snapshot(tmp_path, {"c": "/z"}) is None
+
+
+def test_review_labels_and_taxonomy(spark, tmp_path):
+    path = tmp_path / "l.yaml"
+    item = "- {relative_path: p%d, sufficiency: %s, quality_labels: [x]}\n"
+    path.write_text("reviewed_items:\n" + "".join(item % (i, "borderline") for i in range(20)))
+    assert labels.review_labels(spark, path).count() == 20
+    for bad in ("reviewed_items:\n" + item % (1, "good"), "reviewed_items:\n" + (item % (1, "sufficient")) * 2, "reviewed_items:\n" + item % (1, "sufficient"), "[]"):
+        path.write_text(bad)
+        with pytest.raises(labels.InputError):
+            labels.review_labels(spark, path)
+    value = {"taxonomy_revision": "t1", "domains": [{"domain_id": c, "name": c.lower()} for c in DOMAINS]}
+    path.write_text(json.dumps(value | {"payload_hash": labels.payload_hash(value)}))
+    assert [r["code"] for r in labels.taxonomy(spark, path, DOMAINS).orderBy("place").collect()] == list(DOMAINS)
+    for broken in (value | {"payload_hash": "0"}, {"domains": value["domains"][::-1], "payload_hash": labels.payload_hash({"domains": value["domains"][::-1]})}):
+        path.write_text(json.dumps(broken))
+        with pytest.raises(labels.InputError):
+            labels.taxonomy(spark, path, DOMAINS)
+
+
+def test_provenance_never_fails(tmp_path):
+    assert provenance.git(tmp_path / "none") == ("unknown", True)
+    machine = provenance.machine(tmp_path / "none" / "deeper")
+    assert machine["disk_total_bytes"] > 0 and machine["tool_versions"]["pyspark"] != "not_installed"
+    assert provenance.memory("MemAvailable: 5 kB\nSwapTotal: 0 kB\n")["swap_status"] == "disabled" and provenance.memory("")["swap_status"] == "unavailable"
+    assert provenance.memory("SwapTotal: 3 kB\nSwapFree: 1 kB")["swap_free_bytes"] == 1024
+
+
+def test_tables_are_whole_or_absent(spark, tmp_path):
+    schema = schemas.DUPLICATES
+    broken = schemas.empty(spark, schema).union(spark.range(1).select(F.lit("g"), F.lit("s"), F.raise_error(F.lit("stop")).cast("long"), F.lit("f"), F.lit(True)))
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_table(broken, f"file://{tmp_path}/t", schema)
+    assert list(tmp_path.iterdir()) == []
+    sinks.write_table(schemas.empty(spark, schema), f"file://{tmp_path}/t", schema)
+    with pytest.raises(FileExistsError):
+        sinks.write_table(schemas.empty(spark, schema), f"file://{tmp_path}/t", schema)
+
+
+def test_signals_stay_out_of_the_canonical_run(spark, tmp_path):
+    rows = spark.createDataFrame([("i", True, "text 1"), ("j", False, None)], "calibration_item_id string, evidence_text_available boolean, evidence_text string")
+    with pytest.raises(sinks.UnsafePath):
+        runs.write_signals(rows, f"file://{tmp_path}/run/signals", str(tmp_path / "run"))
+    runs.write_signals(rows, f"file://{tmp_path}/signals", str(tmp_path / "run"))
+    assert {r["total_chars"] for r in spark.read.parquet(f"file://{tmp_path}/signals").collect()} == {6, None}
+
+
+def test_rule_text_reads_back():
+    from sieveline.operators.routing import rule_text
+
+    assert rule_text("printable_char_ratio", "<=", 0.9258285113098369) == "printable_char_ratio <= 0.9258285113098369"
+    assert float(rule_text("control_char_rate", ">=", 0.1).split()[-1]) == 0.1
+
+
+def test_staged_tables_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from sieveline.sources import staging
+
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="other", master="spark://host:7077"), conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError, match="shared folder"):
+        staging.shared_folder(cluster)
