@@ -1,15 +1,13 @@
-"""Helpers that the operators share: column choice, staged tables, byte-sized batches."""
+"""Helpers that the operators share: column choice, tables, byte-sized batches."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
-from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sieveline.sources.staging import Stages as Stages
+
 #: text handed to one vectorised step, so that its arrays stay small whatever an Arrow batch holds
 STEP_BYTES = 4 << 20
 
@@ -34,48 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_roots: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A folder of this session below spark.checkpoint.dir; where that is unset (tests), a local temporary one."""
-    app = spark.sparkContext.applicationId
-    if app not in _roots:
-        base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='stages-')}"
-        _roots[app] = f"{base.rstrip('/')}/stages-{app}-{uuid.uuid4().hex[:8]}"
-        atexit.register(_remove, spark, _roots[app])
-    return _roots[app]
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    with suppress(Exception):  # the session may be gone at exit
-        jvm, sc = spark.sparkContext._jvm, spark.sparkContext
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-
-
-class Stages:
-    """Tables written once to the shared folder and read back: they cut the lineage and outlive lost executors.
-
-    A table that later steps no longer need is dropped, so a run holds a few of them at a time.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.n = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}", 0
-
-    def write(self, df: DataFrame, name: str = "t") -> DataFrame:
-        self.n += 1
-        path = f"{self.root}/{self.n:03d}-{name}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._staged_at = path
-        return out
-
-    def drop(self, *dfs: DataFrame) -> None:
-        for df in dfs:
-            _remove(self.spark, df._staged_at)
-
-
 def by_bytes(rows: Iterable, size, most: int = STEP_BYTES) -> Iterator[list]:
     """Runs of consecutive rows of at most `most` bytes together; a larger row goes alone."""
     held, total = [], 0
@@ -91,5 +47,5 @@ def by_bytes(rows: Iterable, size, most: int = STEP_BYTES) -> Iterator[list]:
 
 
 def text_steps(texts: list, most: int = STEP_BYTES) -> Iterator[list]:
-    """`by_bytes` for texts that may be null."""
-    return by_bytes(texts, lambda t: len(t) if t else 1, most)
+    """`by_bytes` for texts that may be null, by their bytes in UTF-8."""
+    return by_bytes(texts, lambda t: 1 if not t else len(t) if t.isascii() else len(t.encode("utf-8", "replace")), most)

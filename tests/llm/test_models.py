@@ -158,7 +158,35 @@ def test_pipeline_keeps_what_each_stage_keeps(spark):
 
 
 def test_pipeline_with_odd_rows(spark, docs, tmp_path):
+    """Nulls, empties, repeats, a very long text and clashing names, with labels of both classes and a benchmark."""
+    good, bad = "An ordinary sentence about gears and shafts, written with some care.", "## $$ @@ || ## %% ^^ && ## $$"
+    item = "a passage of the benchmark that nobody should train on at all ever"
+    extra = [(100 + k, "\n".join(f"{line} {k} {j}" for j in range(4))) for k, line in enumerate([good, bad] * 30)]
+    extra += [(300, f"Before it. {item.title()}. After it."), (None, f"{good} nothing else here 1"), (301, None), (301, "the same id with other words in it, quite different")]
+    more = spark.createDataFrame([(i, t, "en", "src", len(t) if t else None, 0.5, "z", 9) for i, t in extra], docs.schema)
+    docs.union(more).write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(100 + k, 1 - k % 2, 0) for k in range(60)] + [(None, 1, 0), (300, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    sf_dir = f"file://{tmp_path}"
+    left, kept = table(spark, sf_dir, "documents"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, sf_dir)
+        assert left.schema == table(spark, sf_dir, "documents").schema
+        kept[name] = [r["doc_id"] for r in left.collect()]
+    ids = {k: {i for i in v if i is not None} for k, v in kept.items()}
+    assert {100 + k for k in range(0, 60, 2)} <= ids["quality classifier"] and not ids["quality classifier"] & {100 + k for k in range(1, 60, 2)}
+    assert kept["simhash near-dedup"].count(301) <= 2 and 2 not in ids["simhash near-dedup"] and 1 in ids["simhash near-dedup"]
+    assert ids["simhash near-dedup"] - ids["benchmark decontamination"] == {300}
+    assert sorted(kept["pii"], key=repr) == sorted(kept["benchmark decontamination"], key=repr)
+    out = corpus_pipeline.run(spark, sf_dir).collect()
+    assert sorted((r["doc_id"] for r in out), key=repr) == sorted(kept["pii"], key=repr)
+    assert {r["doc_id"]: r["decoded"] for r in out if r["doc_id"]} == {r["doc_id"]: r["text"] or "" for r in left.collect() if r["doc_id"]}
+
+
+def test_pipeline_of_empty_tables(spark, docs, tmp_path):
     for name, schema in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"file://{tmp_path}/{name}.parquet")
     docs.write.parquet(f"file://{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 7
+    docs.limit(0).write.mode("overwrite").parquet(f"file://{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0
