@@ -2,6 +2,13 @@
 
 A stage takes (spark, docs, sf_dir). All but the last return the columns of docs. The stages work on whole texts and
 on all rows that the stage before has kept.
+
+Defined cases: a null text counts as empty for every decision and stays null until it is encoded, as no ids and an empty
+text; documents without words are near-duplicates of each other, so one of them stays; rows that repeat another in doc_id
+and text stay once, rows of one doc_id with different texts are different documents; a null doc_id loses against any
+other id in a group; long texts are worked on whole; without usable labels the classifier rejects nothing, without a
+benchmark nothing is contaminated; an empty table gives an empty result; other columns pass through all stages but the
+last, and n_chars follows a rewritten text.
 """
 
 from __future__ import annotations
@@ -46,7 +53,7 @@ STAGES = [
     ("bpe encoding and decoding", encode),
 ]
 
-#: no stage but the decontamination could be told in SQL; the stages are tested against plain versions instead
+#: SQL has neither the classifier nor the fingerprints nor the permutation; the stages are tested against plain versions
 ORACLE_SQL = None
 
 
