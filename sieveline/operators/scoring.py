@@ -58,23 +58,31 @@ def slices(items: DataFrame, first: str, second: str) -> DataFrame:
     return sets.agg(F.avg("score").alias("score"), F.count("score").alias("item_count"))
 
 
+def poisson_steps() -> list[float]:
+    """Upper ends of the values 0, 1, ... of a Poisson variate of mean 1, up to the last one that 32 bits can tell."""
+    out, p, total, k = [], 0.36787944117144233, 0.0, 0
+    while 1 - total > 2**-32:
+        total += p
+        out.append(total)
+        k += 1
+        p /= k
+    return out
+
+
 def bootstrap(items: DataFrame, draws: int = 200, seed: int = 7) -> DataFrame:
     """track, low and high: 95 % interval of the mean by Poisson resampling.
 
-    Every item counts in each draw as often as a Poisson variate of mean 1 says, which follows from a hash of item,
-    draw and seed; so items are resampled in place, and a draw needs no shuffle but its sums.
+    Every item counts in each draw as often as a Poisson variate of mean 1 says, which follows from 32 bits of an MD5 of
+    item, seed and draw (four draws a digest). An item's draws are an array and are summed by place, so that the rows
+    stay as they are until the sums.
     """
-    draw = F.explode(F.sequence(F.lit(0), F.lit(draws - 1)))
-    u = F.pmod(F.xxhash64("item_id", "draw", F.lit(seed)), F.lit(1 << 32)) / float(1 << 32)
-    steps, times, p, total = [], F.lit(0), 0.36787944117144233, 0.0
-    for k in range(8):
-        total += p
-        steps.append(total)
-        p /= k + 1
-    for edge in steps:
-        times = times + F.when(u >= edge, 1).otherwise(0)
-    each = items.where("score is not null").withColumn("draw", draw).withColumn("times", times)
-    means = each.groupBy("track", "draw").agg(T.safe_ratio(F.sum(F.col("score") * F.col("times")), F.sum("times")).alias("mean"))
+    digests = F.transform(F.sequence(F.lit(0), F.lit((draws - 1) // 4)), lambda b: F.md5(F.concat_ws("-", "item_id", F.lit(seed), b)))
+    steps = F.array(*map(F.lit, poisson_steps()))
+    times = T.bound(digests, lambda m: F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), lambda d: F.substring(m[F.floor(d / 4).cast("int")], d % 4 * 8 + 1, F.lit(8))))
+    times = T.bound(times, lambda ws: F.transform(ws, lambda w: F.size(F.filter(steps, lambda e: F.conv(w, 16, 10).cast("double") / float(1 << 32) >= e))))
+    each = items.where("score is not null").select("track", "score", times.alias("times"))
+    sums = each.groupBy("track").agg(*(F.sum(F.col("times")[d] * F.col("score")).alias(f"s{d}") for d in range(draws)), *(F.sum(F.col("times")[d]).alias(f"n{d}") for d in range(draws)))
+    means = sums.select("track", F.explode(F.array(*(F.try_divide(f"s{d}", f"n{d}") for d in range(draws)))).alias("mean"))
     return means.groupBy("track").agg(F.percentile("mean", 0.025).alias("low"), F.percentile("mean", 0.975).alias("high"))
 
 

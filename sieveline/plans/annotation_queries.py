@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sieveline.operators import annotation as A
-from sieveline.plans.corpus import Registry, documents, every
+from sieveline.plans.corpus import Registry, documents, every, files
+from sieveline.plans.inventory_queries import EVIDENCE, EVIDENCE_CHARS, evidence_of
 
 registry = query = Registry()
 
@@ -132,10 +133,17 @@ def negotiation(spark, sf_dir):
     return A.negotiation(first).withColumn("stopped_by", F.coalesce("stopped_by", F.lit("-")))
 
 
-@query()
+_RULES, _TITLE = ["Use only the supplied evidence.", "Return one JSON object."], "ANNOTATION"
+_HEAD = "\n".join([_TITLE, *_RULES, "", "TAXONOMY", *(f"- {d}: domain {d}" for d in A.DOMAINS), "", "DOCUMENT METADATA", ""])
+_TAIL = "\n".join(["", "<<<END_FINAL_EVIDENCE>>>", "", "OUTPUT FIELDS", *A.FIELDS])
+
+
+@query(EVIDENCE + f"""SELECT w.doc_id AS item_id, '{_HEAD}' || '{{"page_count":' || f.page_count || '}}' || chr(10) || chr(10) || 'EVIDENCE' || chr(10) || '<<<BEGIN_FINAL_EVIDENCE>>>' || chr(10) || substr(t, 1, {EVIDENCE_CHARS}) || '{_TAIL}' AS prompt FROM whole w JOIN files f ON f.doc_id = w.doc_id""")
 def prompt_render(spark, sf_dir):
-    requests = documents(spark, sf_dir).select(F.col("doc_id").alias("item_id"), F.lit(None).cast("string").alias("metadata_title"), F.ceil(F.col("n_chars") / 1500).alias("page_count"), F.substring("text", 1, 1500).alias("evidence_text"))
-    return A.prompts(requests, [(d, f"domain {d}") for d in A.DOMAINS], ["Use only the supplied evidence.", "Return one JSON object."], "ANNOTATION")
+    """Prompts over the evidence that a run takes."""
+    f = files(spark, sf_dir)
+    requests = f.select(F.col("doc_id").alias("item_id"), F.lit(None).cast("string").alias("metadata_title"), "page_count", evidence_of(f)["evidence_text"].alias("evidence_text"))
+    return A.prompts(requests, [(d, f"domain {d}") for d in A.DOMAINS], _RULES, _TITLE)
 
 
 @query("SELECT 'D' || lpad(i::VARCHAR, 2, '0') AS code, i AS place, sha256('D' || lpad(i::VARCHAR, 2, '0')) AS code_hash FROM (SELECT range AS i FROM range(1, 13))")

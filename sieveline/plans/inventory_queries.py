@@ -88,11 +88,12 @@ def ocr_assemble(spark, sf_dir):
     return files(spark, sf_dir).select("doc_id", F.sha2(out["evidence_text"], 256).alias("evidence_sha256"), out["raw_chars"].cast("long").alias("raw_chars"), out["pages_truncated"].cast("long").alias("pages_truncated"), out["globally_truncated"].alias("globally_truncated"))
 
 
-@query()
+@query("""WITH d AS (SELECT vec_id, k, least(embedding[k + 2], embedding[k + 4]) AS top, least(embedding[k + 1], embedding[k + 3]) AS left_ FROM embeddings, (SELECT unnest([0, 4, 8, 12, 16]) AS k))
+SELECT vec_id, string_agg('t' || k, ',' ORDER BY top, left_, k) AS texts FROM d GROUP BY vec_id""")
 def reading_order(spark, sf_dir):
     """Detections made of embedding values, in reading order."""
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    point = lambda x, y: F.struct(F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     one = lambda k: F.struct(F.array(point(F.col("embedding")[k], F.col("embedding")[k + 1]), point(F.col("embedding")[k + 2], F.col("embedding")[k + 3])).alias("box"), F.lit(f"t{k}").alias("text"), F.col("embedding")[k].cast("double").alias("score"))
     order = E.reading_order(F.array(*(one(k) for k in range(0, 20, 4))))
     return e.select("vec_id", F.array_join(F.transform(order, lambda d: d["text"]), ",").alias("texts"))
@@ -359,7 +360,7 @@ def set_intersect(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id").intersect(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id"))
 
 
-@query()
+@query("SELECT event_id AS line, CASE WHEN json_valid(props) THEN json_type(props) = 'OBJECT' ELSE false END AS ok, CASE WHEN json_valid(props) AND json_type(props) = 'OBJECT' THEN len(json_keys(props)) ELSE 0 END AS fields FROM events")
 def jsonl_strict(spark, sf_dir):
     """Event properties as a JSON-lines table, read strictly."""
     from sieveline.sources.jsonl import strict_lines

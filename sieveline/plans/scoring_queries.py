@@ -68,9 +68,16 @@ def slice_metrics(spark, sf_dir):
     return S.slices(items(spark, sf_dir), "track", "domain").withColumn("score", F.round("score", 6))
 
 
-@query()
+_STEPS = ", ".join(f"({e!r})" for e in S.poisson_steps())
+
+
+@query(_ITEMS + f""", d AS (SELECT track, score, b * 4 + k AS draw, substr(md5(item_id || '-7-' || b), (k * 8 + 1)::INTEGER, 8) AS w FROM items, (SELECT range AS b FROM range(50)), (SELECT range AS k FROM range(4)) WHERE score IS NOT NULL),
+u AS (SELECT track, score, draw, list_sum(list_transform(range(8), lambda i: (strpos('0123456789abcdef', substr(w, (i + 1)::INTEGER, 1)) - 1) * pow(16, 7 - i))) / 4294967296.0 AS u FROM d),
+t AS (SELECT track, score, draw, (SELECT count(*) FROM (VALUES {_STEPS}) s(e) WHERE u.u >= s.e) AS times FROM u),
+m AS (SELECT track, draw, sum(score * times) / sum(times) AS mean FROM t GROUP BY track, draw)
+SELECT track, round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.975), 6) AS high FROM m GROUP BY track""")
 def bootstrap_interval(spark, sf_dir):
-    return S.bootstrap(items(spark, sf_dir))
+    return S.bootstrap(items(spark, sf_dir)).select("track", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 @query(_ITEMS + ", r AS (SELECT item_id, row_number() OVER (ORDER BY sha256(item_id::VARCHAR || 'rev-1'), item_id) AS place, count(*) OVER () AS n FROM items) SELECT item_id, place FROM r WHERE place <= ceil(n * 0.1)")
