@@ -12,12 +12,13 @@ CLASSES = {
     "replacement_char_count": r"\x{FFFD}",
     "private_use_char_count": r"[\x{E000}-\x{F8FF}\x{F0000}-\x{FFFFD}\x{100000}-\x{10FFFD}]",
     "control_char_count": r"[\p{Cc}&&[^\t\n\r]]",
-    "printable_char_count": r"[[^\p{C}\p{Z}]\x20]",
     "ascii_letter_count": r"[A-Za-z]",
     "cjk_char_count": r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]",
     "digit_count": r"\p{Nd}",
     "whitespace_count": SPACE,
 }
+#: what does not print: all but the printable characters and the space
+UNPRINTABLE = r"[[\p{C}\p{Z}]&&[^\x20]]"
 SUSPICIOUS = ("replacement_char_count", "private_use_char_count", "control_char_count")
 SENTENCE_ENDS = r"[。！？!?；;.!]+"
 
@@ -132,26 +133,33 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def class_count(text: Column, pattern: str) -> Column:
-    """Characters of a class: what is missing without its runs; no list of matches is made, and no group repeated."""
-    return F.length(text) - F.length(F.regexp_replace(text, F.lit(f"{pattern}++"), F.lit("")))
+def without_class(text: Column, pattern: str) -> Column:
+    """The text without the characters of a class; runs go at once, and no group is repeated."""
+    return F.regexp_replace(text, F.lit(f"{pattern}++"), F.lit(""))
 
 
 def quality_signals(text: Column) -> Column:
     """A struct of the sixteen Unicode signals of a text: all null for a null text, all rates 0 for an empty one.
 
-    Each class is counted once, and the rates are taken from the counts.
+    Each class is counted once, as what its removal takes away. ASCII letters, most of a text, go first: no other class
+    has any, so the others are counted in what is left, and those that share nothing with white space without it.
     """
-    counts = F.struct(F.length(text).alias("total"), *(class_count(text, pattern).alias(name) for name, pattern in CLASSES.items()))
+    names = {n: n.removesuffix("_count") for n in CLASSES}
+    lost = lambda t, name: F.length(t) - F.length(without_class(t, CLASSES[f"{name}_count"]))
+
+    def counted(rest: Column) -> Column:
+        unprintable = F.length(rest) - F.length(without_class(rest, UNPRINTABLE))
+        inner = bound(without_class(rest, SPACE), lambda t: F.struct(F.length(t).alias("n"), *(lost(t, n).alias(n) for n in ("replacement_char", "private_use_char", "cjk_char", "digit"))))
+        return bound(inner, lambda c: F.struct(F.length(text).alias("total"), *(c[n].alias(f"{n}_count") for n in ("replacement_char", "private_use_char", "cjk_char", "digit")), lost(rest, "control_char").alias("control_char_count"), (F.length(rest) - c["n"]).alias("whitespace_count"), (F.length(text) - F.length(rest)).alias("ascii_letter_count"), (F.length(text) - unprintable).alias("printable_char_count")))
 
     def signals(c: Column) -> Column:
         suspicious = sum((c[n] for n in SUSPICIOUS[1:]), c[SUSPICIOUS[0]])
         rate = lambda n: F.when(c["total"].isNotNull(), safe_ratio(n, c["total"]))
-        named = {n: c[n] for n in CLASSES} | {"total_chars": c["total"], "suspicious_char_count": suspicious, "suspicious_char_rate": rate(suspicious), "printable_char_ratio": rate(c["printable_char_count"]), "whitespace_ratio": rate(c["whitespace_count"])}
-        named |= {f"{n.removesuffix('_count')}_rate": rate(c[n]) for n in SUSPICIOUS}
+        named = {n: c[n] for n in (*names, "printable_char_count")} | {"total_chars": c["total"], "suspicious_char_count": suspicious, "suspicious_char_rate": rate(suspicious), "printable_char_ratio": rate(c["printable_char_count"]), "whitespace_ratio": rate(c["whitespace_count"])}
+        named |= {f"{names[n]}_rate": rate(c[n]) for n in SUSPICIOUS}
         return F.struct(*(named[n].alias(n) for n in SIGNAL_NAMES))
 
-    return bound(counts, signals)
+    return bound(bound(without_class(text, CLASSES["ascii_letter_count"]), counted), signals)
 
 
 def safe_relative_path(path: Column) -> Column:

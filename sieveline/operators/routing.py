@@ -92,9 +92,9 @@ def pair_search(rows: DataFrame, grid: DataFrame | None = None, most: int = MOST
     names = list(SIGNALS)
     strict = F.when(F.col("signal") == "printable_char_ratio", -F.col("threshold")).otherwise(F.col("threshold"))
     of = Window.partitionBy("signal")  # `most` thresholds
-    checked = F.when(F.col("of") <= most, F.col("of")).otherwise(F.raise_error(F.concat(F.lit("too many thresholds of "), "signal")).cast("long"))
-    marks = grid.withColumn("strict", strict).withColumn("of", F.count("*").over(of)).withColumn("of", checked)
-    marks = marks.withColumn("level", F.row_number().over(of.orderBy("strict"))).select("signal", "threshold", "strict", "level")
+    checked = F.when(F.col("of") <= most, F.col("level")).otherwise(F.raise_error(F.concat(F.lit("too many thresholds of "), "signal")).cast("int"))
+    marks = grid.withColumn("strict", strict).withColumn("of", F.count("*").over(of)).withColumn("level", F.row_number().over(of.orderBy("strict")))
+    marks = marks.select("signal", "threshold", "strict", checked.alias("level"))
     # levels of the values: the number of thresholds up to a value, along its signal
     each = unpivoted(rows).where("value is not null").select("signal", "value").distinct()
     up = F.when(F.col("signal") == "printable_char_ratio", -F.col("value")).otherwise(F.col("value"))

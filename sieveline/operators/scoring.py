@@ -73,16 +73,18 @@ def bootstrap(items: DataFrame, draws: int = 200, seed: int = 7) -> DataFrame:
     """track, low and high: 95 % interval of the mean by Poisson resampling.
 
     Every item counts in each draw as often as a Poisson variate of mean 1 says, which follows from 32 bits of an MD5 of
-    item, seed and draw (four draws a digest). An item's draws are an array and are summed by place, so that the rows
-    stay as they are until the sums.
+    item, seed and draw: a digest serves four draws. The digests' rows are summed where they are made; what is shuffled
+    is a row for each track, task and four draws.
     """
-    digests = F.transform(F.sequence(F.lit(0), F.lit((draws - 1) // 4)), lambda b: F.md5(F.concat_ws("-", "item_id", F.lit(seed), b)))
-    steps = F.array(*map(F.lit, poisson_steps()))
-    times = T.bound(digests, lambda m: F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), lambda d: F.substring(m[F.floor(d / 4).cast("int")], d % 4 * 8 + 1, F.lit(8))))
-    times = T.bound(times, lambda ws: F.transform(ws, lambda w: F.size(F.filter(steps, lambda e: F.conv(w, 16, 10).cast("double") / float(1 << 32) >= e))))
-    each = items.where("score is not null").select("track", "score", times.alias("times"))
-    sums = each.groupBy("track").agg(*(F.sum(F.col("times")[d] * F.col("score")).alias(f"s{d}") for d in range(draws)), *(F.sum(F.col("times")[d]).alias(f"n{d}") for d in range(draws)))
-    means = sums.select("track", F.explode(F.array(*(F.try_divide(f"s{d}", f"n{d}") for d in range(draws)))).alias("mean"))
+    block = F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // 4))).alias("block")
+    each = items.where("score is not null").select("track", "score", "item_id", block)
+    each = each.select("track", "score", "block", F.md5(F.concat_ws("-", "item_id", F.lit(seed), "block")).alias("digest"))
+
+    uniform = each.select("track", "score", "block", *((F.conv(F.substring("digest", 8 * k + 1, 8), 16, 10).cast("double") / float(1 << 32)).alias(f"u{k}") for k in range(4)))
+    counted = uniform.select("track", "score", "block", *(sum((F.when(F.col(f"u{k}") >= e, 1).otherwise(0) for e in poisson_steps()), F.lit(0)).alias(f"t{k}") for k in range(4)))
+    sums = counted.groupBy("track", "block").agg(*(F.try_divide(F.sum(F.col("score") * F.col(f"t{k}")), F.sum(f"t{k}")).alias(f"m{k}") for k in range(4)))
+    drawn = F.posexplode(F.array(*(F.col(f"m{k}") for k in range(4)))).alias("k", "mean")
+    means = sums.select("track", "block", drawn).where(F.col("block") * 4 + F.col("k") < draws)
     return means.groupBy("track").agg(F.percentile("mean", 0.025).alias("low"), F.percentile("mean", 0.975).alias("high"))
 
 
