@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sieveline import config, schemas
 from sieveline.operators.annotation import DOMAINS
 from sieveline.plans import runs
-from sieveline.sources import labels, provenance, sinks
+from sieveline.sources import labels, providers, provenance, sinks
 from sieveline.sources.discovery import discover
 from sieveline.sources.documents import MissingLibrary, inspect, recognised
 from sieveline.sources.jsonl import read_jsonl, strict_lines
@@ -265,3 +265,36 @@ def test_staged_tables_need_a_shared_folder():
     cluster = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="other", master="spark://host:7077"), conf=SimpleNamespace(get=lambda *a: None))
     with pytest.raises(ValueError, match="shared folder"):
         staging.shared_folder(cluster)
+
+
+def test_providers_are_probed_apart():
+    a, b = providers.Provider("one", "alpha-2", "http://a/v1", "KEY_A"), providers.Provider("two", "beta-1", "http://b/v1", "KEY_B")
+    seen = []
+
+    def requester(method, url, headers, payload):
+        seen.append((url, headers["Authorization"]))
+        if method == "GET":
+            return providers.Reply(200, {"data": [{"id": "alpha-1"}, "alpha-2", {"id": "gamma"}, 3]})
+        if payload.get("response_format", {}).get("type") == "json_schema" and "b/" in url:
+            return providers.Reply(400, {"error": "response_format is not supported"})
+        return providers.Reply(200, {"model": payload["model"], "choices": []})
+
+    valid = lambda text: "choices" in text
+    for variables, error in (({"KEY_A": "x"}, "credentials_missing"), ({"KEY_A": "x", "KEY_B": "x"}, "credential_isolation_failed")):
+        assert providers.dual_preflight(a, b, variables, requester, "p", valid)["error"] == error and not seen
+    keys = {"KEY_A": "x", "KEY_B": "y"}
+    out = providers.dual_preflight(a, b, keys, requester, "p", valid)
+    assert out["passed"] and [[r["mode"] for r in rows] for rows in out["attempts"]] == [["json_schema"], ["json_schema", "json_object"]]
+    assert {key for url, key in seen if "a/" in url} == {"Bearer x"} and "x" not in json.dumps(out["keys_present"].popitem()[0])
+    found = providers.discover(a, keys, requester)
+    assert found["accessible"] and found["relevant_models"] == ["alpha-1", "alpha-2"]
+    assert providers.discover(b, keys, None, verified=["other"])["error"] == "model_missing"
+
+    def failing(*request):
+        raise OSError("no route")
+
+    assert providers.identity(a, keys, failing)["failure"] == "transport_error"
+    wrong = providers.identity(a, keys, lambda *r: providers.Reply(200, {"model": "alpha-1"}))
+    assert wrong["failure"] == "resolved_model_mismatch" and not wrong["passed"]
+    assert providers.identity(a, keys, lambda *r: providers.Reply(401))["failure"] == "auth_error"
+    assert providers.model_excerpt(["m"] * 3 + ["alpha-9"] * 30, "alpha-2") == ["alpha-9"] * 20
