@@ -109,6 +109,16 @@ def superseded(paired: DataFrame) -> DataFrame:
     return retry_decisions(paired).where("required").select("item_id", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("side"))
 
 
+def calibration_metrics(paired: DataFrame, groups: DataFrame) -> DataFrame:
+    """Over all items (parent_group null) and by group: items, the rate of each taxonomy fit among both annotations, and
+    the rates of agreement and conflict. `groups` has item_id and parent_group."""
+    rows = paired.join(agreement(paired), "item_id").join(groups.select("item_id", "parent_group"), "item_id")
+    sets = rows.select("parent_group", "status", F.col("a")["taxonomy_fit"].alias("fit_a"), F.col("b")["taxonomy_fit"].alias("fit_b")).groupingSets([[], ["parent_group"]], "parent_group")
+    both = lambda fit: T.safe_ratio(F.count_if(F.col("fit_a") == fit) + F.count_if(F.col("fit_b") == fit), 2 * F.count("*"))
+    share = lambda status: T.safe_ratio(F.count_if(F.col("status") == status), F.count("*"))
+    return sets.agg(F.count("*").alias("items"), *(both(f).alias(f"{f}_rate") for f in TAXONOMY_FITS), share("provisionally_agreed").alias("agreement_rate"), share("conflict").alias("conflict_rate"))
+
+
 # ---------------------------------------------------------------- provider responses and attempts
 
 

@@ -52,14 +52,26 @@ r AS (SELECT *, usability_a IN ('unreadable', 'insufficient') AS ua, fit_a = 'in
 _SAME = " AND ".join(f"{r}_a = {r}_b" for r in A.REVISIONS)
 
 
-@query(PAIRS + f""", s AS (SELECT doc_id, CASE WHEN doc_id % 41 = 0 THEN 'superseded' WHEN ua OR fa OR ub OR fb THEN 'evidence_retry_required' WHEN NOT ({_SAME}) OR doc_id % 37 = 0 THEN 'evidence_contract_differs' WHEN domain_a <> domain_b THEN 'primary_domain' WHEN fit_a <> fit_b THEN 'taxonomy_fit'
+_REASONS = PAIRS + f""", s AS (SELECT doc_id, CASE WHEN doc_id % 41 = 0 THEN 'superseded' WHEN ua OR fa OR ub OR fb THEN 'evidence_retry_required' WHEN NOT ({_SAME}) OR doc_id % 37 = 0 THEN 'evidence_contract_differs' WHEN domain_a <> domain_b THEN 'primary_domain' WHEN fit_a <> fit_b THEN 'taxonomy_fit'
   WHEN fit_a = 'cross_domain' AND (least(second_a, third_a) <> least(second_b, third_b) OR greatest(second_a, third_a) <> greatest(second_b, third_b)) THEN 'secondary_domains' WHEN fit_a IN ('ambiguous', 'taxonomy_gap', 'out_of_scope', 'insufficient_evidence') THEN 'review_' || fit_a
   WHEN confidence_a = 'low' OR confidence_b = 'low' THEN 'low_confidence' ELSE 'agreed' END AS reason FROM r)
-SELECT doc_id AS item_id, CASE WHEN reason = 'agreed' THEN 'provisionally_agreed' ELSE 'conflict' END AS status, reason FROM s""")
+"""
+
+
+@query(_REASONS + "SELECT doc_id AS item_id, CASE WHEN reason = 'agreed' THEN 'provisionally_agreed' ELSE 'conflict' END AS status, reason FROM s")
 def agreement(spark, sf_dir):
     return A.agreement(A.pairs(annotations(spark, sf_dir)))
 
 
+@query(_REASONS + """, x AS (SELECT s.reason, d.source AS parent_group, r.fit_a, r.fit_b FROM s JOIN r USING (doc_id) JOIN documents d USING (doc_id))
+SELECT parent_group, count(*) AS items, """ + ", ".join(f"round((count(*) FILTER (WHERE fit_a = '{f}') + count(*) FILTER (WHERE fit_b = '{f}')) / (2 * count(*)), 6) AS {f}_rate" for f in A.TAXONOMY_FITS) + """,
+  round(count(*) FILTER (WHERE reason = 'agreed') / count(*), 6) AS agreement_rate, round(count(*) FILTER (WHERE reason <> 'agreed') / count(*), 6) AS conflict_rate FROM x GROUP BY GROUPING SETS ((), (parent_group))""")
+def calibration_metrics(spark, sf_dir):
+    groups = documents(spark, sf_dir).select(F.col("doc_id").alias("item_id"), F.col("source").alias("parent_group"))
+    out = A.calibration_metrics(A.pairs(annotations(spark, sf_dir)), groups)
+    return out.select(*(F.round(c, 6).alias(c) if c.endswith("_rate") else c for c in out.columns))
+
+
 @query(PAIRS + """SELECT doc_id AS item_id, ua OR fa OR ub OR fb AS required, ua OR fa AS triggered_by_a, ub OR fb AS triggered_by_b,
   concat_ws('; ', CASE WHEN ua THEN 'a.evidence_usability=' || usability_a END, CASE WHEN fa THEN 'a.taxonomy_fit=insufficient_evidence' END, CASE WHEN ub THEN 'b.evidence_usability=' || usability_b END, CASE WHEN fb THEN 'b.taxonomy_fit=insufficient_evidence' END) AS reasons,
   (ua OR fa OR ub OR fb) AND doc_id % 2 < 1 AS may_retry FROM r""")

@@ -86,7 +86,7 @@ def inventory(spark: SparkSession, config: Config, run_id: str, opener: Callable
         run.finish("interrupted")
         return run.state()
     files = records_of(tasks, results, run_id)
-    sinks.write_table(files, path("files.parquet"), schemas.FILES)
+    sinks.write_table(files.orderBy("source_root_id", "relative_path"), path("files.parquet"), schemas.FILES)
     files = schemas.read_exactly(spark, path("files.parquet"), schemas.FILES, tasks.count())
     sinks.write_table(I.exact_duplicates(files), path("duplicate_groups.parquet"), schemas.DUPLICATES)
     sinks.write_table(errors_of(tasks, results, run_id), path("errors.parquet"), schemas.ERRORS)
