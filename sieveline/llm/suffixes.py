@@ -44,12 +44,12 @@ GRAM = 16
 SHALLOW = 16
 #: bytes of text in a chunk, and bytes of all text for each part; the parts of a small table
 CHUNK_BYTES = 4 << 20
-PART_BYTES = 64 << 20
-MIN_PARTS = 32
+PART_BYTES = 16 << 20
+MIN_PARTS = 64
 #: positions that are hashed at once, anchors whose bytes are copied at once, and suffixes that are sorted at once
 SEGMENT = 1 << 20
 PIECE = 1 << 15
-SLICE = 1 << 22
+SLICE = 1 << 20
 LAST_ID = (1 << 63) - 1
 _BACK, _AHEAD = LENGTH - GRAM, LENGTH
 _CONTEXT = _BACK + _AHEAD  # bytes around an anchor that its windows can cover
@@ -198,7 +198,7 @@ def fold(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in range(words.shape[1]):
         h = _mix(h ^ words[:, k], h + np.uint64(k + 1), _M1, _M2)
     _, some, own = np.unique(h, return_index=True, return_inverse=True)
-    if not (words == words[some[own]]).all():  # two rows with one hash
+    if any((words[:, k] != words[some, k][own]).any() for k in range(words.shape[1])):  # two rows with one hash
         _, some, own = np.unique(words, axis=0, return_index=True, return_inverse=True)
     return some, own.reshape(-1)
 
@@ -378,14 +378,16 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 def _sorted(table: pa.Table) -> pa.Table:
     """Answers which windows of a part's contexts a smaller document has."""
-    unpack, sent = zstandard.ZstdDecompressor().decompress, []
-    for (chunk, raw), n in zip(_answered(table), table.column("n").to_pylist(), strict=True):
-        raw = unpack(raw)
-        sent.append((chunk, np.frombuffer(raw, dtype=np.int64, count=n), np.frombuffer(raw, dtype=np.uint8, offset=8 * n).reshape(n, _ROW)))
-    bits = beaten_windows(np.concatenate([x[1] for x in sent]), np.concatenate([x[2] for x in sent]))
-    ends = np.cumsum([len(x[1]) for x in sent])
-    pack = zstandard.ZstdCompressor(level=3).compress
-    return pa.table({"chunk": pa.array([x[0] for x in sent], pa.int64()), "part": table.column("part"), "answer": pa.array([pack(b.tobytes()) for b in np.split(bits, ends[:-1])], pa.binary())})
+    unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
+    counts = table.column("n").to_pylist()
+    ends = np.cumsum(counts)
+    low, rows = np.empty(int(ends[-1]), dtype=np.int64), np.empty((int(ends[-1]), _ROW), dtype=np.uint8)
+    for n, end, raw in zip(counts, ends.tolist(), table.column("sent"), strict=True):  # one at a time beside the arrays
+        raw = unpack(raw.as_py())
+        low[end - n : end] = np.frombuffer(raw, dtype=np.int64, count=n)
+        rows[end - n : end] = np.frombuffer(raw, dtype=np.uint8, offset=8 * n).reshape(n, _ROW)
+    bits = beaten_windows(low, rows)
+    return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "answer": pa.array([pack(b.tobytes()) for b in np.split(bits, ends[:-1])], pa.binary())})
 
 
 def kept_and_spans(chunk: Chunk, gone: np.ndarray) -> list[pa.Array]:
