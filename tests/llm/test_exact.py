@@ -78,7 +78,7 @@ def brute_components(rows, rule):
     return sorted((repr(i), repr(low[c])) for (i, _), c in zip(rows, label, strict=True))
 
 
-@pytest.mark.parametrize("limit", [1, 4, 1000])
+@pytest.mark.parametrize("limit", [1, 1000])
 def test_components_equal_brute_force(spark, docs, none, limit):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(50)]
@@ -124,7 +124,7 @@ def linked_groups(spark, prints, rule, limit, monkeypatch=None):
     return simhash.forest(len(prints), *(np.array(x, dtype=np.int64) for x in zip((0, 0), *got, strict=True))).tolist()
 
 
-@pytest.mark.parametrize("levels", [0, 1, 3])
+@pytest.mark.parametrize("levels", [0, 3])
 def test_crowded_blocks_lose_no_links(spark, monkeypatch, levels):
     # random prints, and families that agree in all bits but a few: with this limit nearly all blocks are crowded
     monkeypatch.setattr(simhash, "LEVELS", levels)
