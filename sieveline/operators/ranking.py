@@ -72,6 +72,21 @@ def value_ranks(df: DataFrame, column: str, group: list[str] | None = None) -> D
     return counts.withColumn("inside", inside).join(cells, [*group, "cell"]).select(*group, "v", (F.col("before") + F.col("inside")).alias("upto"), "total")
 
 
+def running(df: DataFrame, group: list[str], by: str, sums: list[str] | None = None, mins: list[str] | None = None) -> DataFrame:
+    """With {column}_upto: sums or minima over the rows of a group up to a row's value of `by`, by ranges as above."""
+    stages = Stages(df.sparkSession, "running")
+    ranges = df.repartitionByRange(*(F.col(c).asc_nulls_first() for c in (*group, by))).withColumn("_range", F.spark_partition_id())
+    ranges = stages.write(ranges, "ranges")
+    kinds = dict.fromkeys(sums or [], F.sum) | dict.fromkeys(mins or [], F.min)
+    totals = ranges.groupBy(*group, "_range").agg(*(f(c).alias(c) for c, f in kinds.items()))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # ranges of a group
+    before = totals.select(*group, "_range", *(f(c).over(earlier).alias(f"_before_{c}") for c, f in kinds.items()))
+    inside = Window.partitionBy(*group, "_range").orderBy(by).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    out = ranges.withColumns({f"{c}_upto": f(c).over(inside) for c, f in kinds.items()}).join(F.broadcast(before), [*group, "_range"])
+    upto = {c: F.least(f"_before_{c}", f"{c}_upto") if f is F.min else F.coalesce(f"_before_{c}", F.lit(0)) + F.col(f"{c}_upto") for c, f in kinds.items()}
+    return out.select(*df.columns, *(v.alias(f"{c}_upto") for c, v in upto.items()))
+
+
 def at_place(place: Column) -> Column:
     """Of `value_ranks`: the value at a place (from 0)."""
     return F.min(F.when(F.col("upto") > place, F.col("v")))

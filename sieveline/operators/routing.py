@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sieveline.functions import text as T
+from sieveline.operators.ranking import running
+from sieveline.sources.staging import Stages
 
 # fixed values: the routing signals and the comparison that each allows
 SIGNALS = {"replacement_char_rate": ">=", "private_use_char_rate": ">=", "control_char_rate": ">=", "printable_char_ratio": "<=", "suspicious_char_rate": ">="}
@@ -82,7 +84,7 @@ MOST_THRESHOLDS = 2000
 
 def pair_search(rows: DataFrame, grid: DataFrame | None = None, most: int = MOST_THRESHOLDS) -> DataFrame:
     """Every pair of thresholds of two signals, triggering if either does. More than `most` thresholds of a signal are
-    an error when the rows are computed: the result has a row for each pair.
+    an error when the rows are computed: the result has a row for each pair. `best_pairs` has no such limit.
 
     No rule meets a row. A row's level in a signal is the number of thresholds that it reaches; rows are counted by
     their levels in two signals, and sums along both sides give the rows that reach both thresholds of a pair. Those
@@ -134,6 +136,57 @@ def best(rules: DataFrame, key: list[str], by: list[str] | None = None) -> DataF
     return rules.orderBy(*order).limit(1)
 
 
+def best_pairs(rows: DataFrame) -> DataFrame:
+    """The best rule of each pair of signals, as `best` finds it among all of `pair_search`, without listing the pairs.
+
+    Thresholds are signed so that a row reaches those up to its value. Both orders of `best` ask for the highest recall
+    first, so only pairs that trigger on every positive row with a value count (full recall is every positive row: the
+    tolerance leaves out none of fewer than 10^9). For a left threshold a, these are the right ones up to B(a), the
+    smallest right value of the positive rows below a. B falls as a rises, and a higher b never triggers on more rows,
+    so B(a) is the best for a. A row (x, y) escapes (a, B(a)) just if x < a <= A(y), A(y) being the smallest left value
+    of the positive rows with a right value up to y: running sums over the ends of these stretches give the escaped rows
+    of every a. Of ties, the smallest left threshold is taken, then the smallest right one that lets the same rows escape.
+    """
+    names, pair, counts = list(SIGNALS), ["left_signal", "right_signal"], ["tp", "fp", "main", "seen"]
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    signed = lambda of, c: F.when(of == "printable_char_ratio", 0.0 - F.col(c)).otherwise(F.col(c))
+    stages = Stages(rows.sparkSession, "best_pairs")
+    own = rows.select(*(signed(F.lit(s), s).cast("double").alias(s) for s in names), *_flags(), F.when(F.col("role").isNotNull(), 1).otherwise(0).alias("seen"))
+    combos = stages.write(own.groupBy(*names).agg(*(F.sum(c).alias(c) for c in counts)), "combos")
+    sides = [F.struct(F.lit(a).alias("left_signal"), F.lit(b).alias("right_signal"), F.col(a).alias("x"), F.col(b).alias("y")) for k, a in enumerate(names) for b in names[k + 1 :]]
+    points = combos.select(F.explode(F.array(*sides)).alias("p"), *counts).select("p.*", *counts)
+    # no value lies below all thresholds
+    points = points.withColumn("at_x", F.coalesce("x", low)).withColumn("at_y", F.coalesce("y", low))
+    asked = (F.col("tp") > 0) & (F.col("x").isNotNull() | F.col("y").isNotNull())
+    # one row a pair: the last right threshold, the last left one that every row without a right value allows
+    limits = points.groupBy(*pair).agg(
+        F.max(F.when(F.col("seen") > 0, F.col("y"))).alias("most"), F.min(F.when(asked & F.col("y").isNull(), F.col("x"))).alias("last"),
+        (F.abs(T.safe_ratio(F.sum(F.when(asked, F.col("tp"))), F.sum("tp")) - 1) <= 1e-9).alias("full"),
+    ).where("most is not null")
+    limits = stages.write(limits, "limits")
+    until = running(points.groupBy(*pair, "at_y").agg(F.min(F.when(asked, F.col("at_x"))).alias("until")), pair, "at_y", mins=["until"])
+    each = points.join(until.select(*pair, "at_y", F.coalesce("until_upto", high).alias("until")), [*pair, "at_y"]).join(F.broadcast(limits), pair)
+    escapes = F.when(F.col("at_y") < F.col("most"), 1).otherwise(0)
+    step = lambda at, by, rule: F.struct(at.alias("a"), (by * escapes * F.col("fp")).alias("fp"), (by * escapes * F.col("main")).alias("main"), rule.alias("is_rule"))
+    steps = F.array(step(F.col("at_x"), 1, F.col("x").isNotNull() & (F.col("seen") > 0)), step(F.greatest("at_x", "until"), -1, F.lit(False)))
+    ends = each.select(*pair, F.explode(steps).alias("s")).groupBy(*pair, "s.a").agg(F.sum("s.fp").alias("fp"), F.sum("s.main").alias("main"), F.max("s.is_rule").alias("is_rule"))
+    lefts = running(ends, pair, "a", sums=["fp", "main"]).where("is_rule").join(F.broadcast(limits), pair).where("last is null or a <= last")
+    escaped = lambda c: F.col(f"{c}_upto") - F.col(c)  # noqa: E731  # those of rows below a
+    order = F.struct(F.when(F.col("full"), -escaped("main")).otherwise(0).alias("main"), (-escaped("fp")).alias("fp"), signed(F.col("left_signal"), "a").alias("left_threshold"), F.col("a"))
+    chosen = lefts.groupBy(*pair, "most", "full").agg(F.min(order).alias("o")).select(*pair, "most", "full", "o.left_threshold", "o.a")
+    chosen = stages.write(chosen, "lefts")
+    below = points.join(F.broadcast(chosen), pair).where("at_x < a")
+    top = chosen.join(below.where(asked).groupBy(*pair).agg(F.min("y").alias("b")), pair, "left").withColumn("b", F.least("b", "most"))
+    top = stages.write(top, "tops")
+    told = (F.col("fp") > 0) | (F.col("full") & (F.col("main") > 0))
+    floors = points.join(F.broadcast(top), pair).where((F.col("at_x") < F.col("a")) & (F.col("at_y") < F.col("b")) & told).groupBy(*pair).agg(F.max("at_y").alias("floor"))
+    above = points.where("seen > 0").join(F.broadcast(floors), pair, "left").where("y > coalesce(floor, double('-inf'))").groupBy(*pair).agg(F.min("y").alias("least"))
+    right = F.when(F.col("right_signal") == "printable_char_ratio", F.col("b")).otherwise(F.col("least"))
+    rules = top.join(above, pair).withColumn("b", right).select(*pair, "left_threshold", signed(F.col("right_signal"), "b").alias("right_threshold"), "a", "b")
+    hits = points.join(F.broadcast(stages.write(rules, "rules")), pair).where("x >= a or y >= b")
+    return _evaluated(hits, ["left_signal", "left_threshold", "right_signal", "right_threshold"], rows)
+
+
 def strategy(best_single: DataFrame) -> DataFrame:
     ok = (F.abs(F.col("recall") - 1) <= 1e-9) & (F.col("main_rate") <= BUDGET)
     return best_single.withColumn("strategy", F.when(ok, "automatic_pre_annotation_ocr").otherwise("annotation_side_retry"))

@@ -85,7 +85,7 @@ placed AS (SELECT *, true_positives / p AS recall FROM ruled, tot), firsts AS (S
 SELECT left_signal, left_threshold, right_signal, right_threshold, true_positives, false_positives, main_triggered FROM firsts WHERE r = 1""")
 def pair_search(spark, sf_dir):
     """The best of all rules of each pair of signals."""
-    found = R.best(R.pair_search(written_rows(spark, sf_dir)), ["left_threshold", "right_threshold"], ["left_signal", "right_signal"])
+    found = R.best_pairs(written_rows(spark, sf_dir))
     return found.select("left_signal", "left_threshold", "right_signal", "right_threshold", "true_positives", "false_positives", "main_triggered")
 
 

@@ -225,3 +225,56 @@ def test_pair_search_equals_brute_force(spark):
     assert got == want
     with pytest.raises(Exception, match="too many thresholds"):
         R.pair_search(df, most=2).collect()
+
+
+def test_best_pairs_equal_the_best_of_all_pairs(spark):
+    import random
+
+    from sieveline.operators import routing as R
+
+    names = list(R.SIGNALS)
+    key = ["left_signal", "left_threshold", "right_signal", "right_threshold"]
+    for seed in (2, 3, 5):
+        rng = random.Random(seed)
+        values = (*((None,) if seed % 2 else ()), *(k / 10 for k in range(-1 - seed, 12)))  # without nulls recall is full
+        role = lambda v: "positive" if max(x or 0 for x in v) > 1 else rng.choice(("positive", "negative", "negative", None, "other"))  # noqa: E731, B023
+        rows = [(i, rng.choice(("main", "audit", None)), role(v), *v) for i in range(40 + 30 * seed) for v in [[rng.choice(values) for _ in names]]]
+        if seed == 5:  # no positive row, and a signal without values
+            rows = [(*r[:2], "negative" if r[2] == "positive" else r[2], None, *r[4:]) for r in rows]
+        df = spark.createDataFrame(rows, "calibration_item_id long, pool_name string, role string, " + ", ".join(f"{n} double" for n in names))
+        want = R.best(R.pair_search(df), [key[1], key[3]], [key[0], key[2]]).collect()
+        got = R.best_pairs(df).collect()
+        columns = (*key, "true_positives", "false_positives", "main_triggered", "recall", "main_rate")
+        assert sorted(tuple(r[c] for c in columns) for r in got) == sorted(tuple(r[c] for c in columns) for r in want)
+        assert len(got) == (6 if seed == 5 else 10)
+
+
+def test_pair_search_query_takes_any_number_of_thresholds(spark, tmp_path):
+    import numpy as np
+
+    from sieveline.plans import catalogue
+
+    n = 5000  # more than 2000 reviewed values of a signal
+    spark.range(n).selectExpr("id as doc_id", "repeat('a', cast(100 + id * 7919 % 5003 as int)) as text").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(n).selectExpr("id as doc_id", "cast(id * 31 % 101 > 60 or id % 7 < 4 and id % 4 < 3 as int) as quality", "0 as toxic").where("doc_id % 3 <> 0").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {(r["left_signal"], r["right_signal"]): r for r in catalogue.QUERIES["pair_search"](spark, str(tmp_path)).collect()}
+    assert len(got) == 10
+    # one pair of signals by numpy: all thresholds of the one against all of the other
+    ids = np.array([i for i in range(n) if i % 23])
+    length = 100 + ids * 7919 % 5003 + ids % 7 + ids % 4 + ids % 5
+    x, y = (ids % 7) / length, (ids % 4) / length
+    seen, main, good = ids % 3 != 0, ids % 2 == 0, (ids * 31 % 101 > 60) | (ids % 7 < 4) & (ids % 4 < 3)
+    positive, negative = seen & ~good, seen & good
+    grid_x, grid_y = np.unique(x[seen]), np.unique(y[seen])
+    assert len(grid_x) > 2000 and len(grid_y) > 2000
+    best = None
+    for a in grid_x:
+        hit = x >= a
+        # rows at or above each right threshold that the left one leaves out, besides those that it takes
+        of = lambda rows: rows[hit].sum() + (rows & ~hit).sum() - np.searchsorted(np.sort(y[rows & ~hit]), grid_y)  # noqa: E731, B023
+        tp, fp = of(positive), of(negative)
+        k = min(np.flatnonzero(tp == tp.max()), key=lambda j: (fp[j], grid_y[j]))
+        rule = (-tp[k], fp[k], a, grid_y[k], of(main)[k])
+        best = rule if best is None or rule < best else best
+    r = got["replacement_char_rate", "private_use_char_rate"]
+    assert (-r["true_positives"], r["false_positives"], r["left_threshold"], r["right_threshold"], r["main_triggered"]) == best
