@@ -96,11 +96,23 @@ def unit_scores(answers: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def grams(df: DataFrame, key: str, words: int) -> DataFrame:
-    """key and the distinct hashes g of the runs of `words` lower-case words of its text."""
-    own = F.filter(F.split(F.lower("text"), "[^a-z0-9À-ɏ]+"), lambda w: w != "")
-    rows = df.select(key, own.alias("w")).where(F.size("w") >= words)
-    runs = F.transform(F.sequence(F.lit(0), F.size("w") - words), lambda i: F.xxhash64(F.slice("w", i + 1, F.lit(words))))
-    return rows.select(key, F.explode(F.array_distinct(runs)).alias("g"))
+    """key and the distinct hashes g of the runs of `words` lower-case words of its text.
+
+    Words are what matches, not what is left between matches of all else: the latter takes six times as long. A run is
+    hashed from the hashes of two shorter runs that cover it, so its words are read once whatever their number.
+    """
+    own = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9À-ɏ]++"), F.lit(0))
+    runs, length = F.transform(own, lambda w: F.xxhash64(w)), 1
+    while length < words:
+        by = min(length, words - length)
+        runs, length = _joined_runs(runs, by), length + by
+    return df.select(key, F.explode(F.array_distinct(runs)).alias("g"))
+
+
+def _joined_runs(runs: Column, by: int) -> Column:
+    """Hashes of each run with the one that begins `by` words later."""
+    left = lambda r: F.greatest(F.size(r) - by, F.lit(0))
+    return T.bound(runs, lambda r: F.zip_with(F.slice(r, F.lit(1), left(r)), F.slice(r, F.lit(by + 1), left(r)), lambda a, b: F.xxhash64(a, b)))
 
 
 def training_exclusions(documents: DataFrame, items: DataFrame, words: int = 13) -> DataFrame:

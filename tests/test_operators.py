@@ -278,3 +278,27 @@ def test_pair_search_query_takes_any_number_of_thresholds(spark, tmp_path):
         best = rule if best is None or rule < best else best
     r = got["replacement_char_rate", "private_use_char_rate"]
     assert (-r["true_positives"], r["false_positives"], r["left_threshold"], r["right_threshold"], r["main_triggered"]) == best
+
+
+def test_runs_are_hashed_from_shorter_runs_and_words_are_matched_once(spark):
+    import random
+    import re
+
+    from sieveline.operators import items as I
+
+    rng = random.Random(3)
+    parts = ("a", "B", "c1", "É", "ɏ", "日本", "ß", "x")
+    texts = ["", None, "!?", "a", " ".join("abcdefghijklm"), ". a.B!c " * 9] + [rng.choice((" ", "--", "𝄞", "\n")).join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "document_id long, text string")
+    items = spark.createDataFrame(list(enumerate(texts[::3])), "item_id long, text string")
+    for words in (1, 2, 3, 5, 13):
+        def runs(t):
+            w = re.findall("[a-z0-9À-ɏ]+", (t or "").lower())
+            return {tuple(w[i : i + words]) for i in range(len(w) - words + 1)}
+
+        want = {(i, j): len(runs(a) & runs(b)) for i, a in enumerate(texts) for j, b in enumerate(texts[::3])}
+        got = {(r["document_id"], r["item_id"]): r["shared"] for r in I.training_exclusions(docs, items, words).collect()}
+        assert got == {k: n for k, n in want.items() if n}
+    # a text's words are looked for in one pass: what they are not is never matched, and no filter repeats it
+    plan = I.grams(docs, "document_id", 13)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "split(" not in plan
